@@ -1,7 +1,12 @@
 """Find suspect words in large, noisy text archives with Spark."""
 
 from smudgelex.operators.compare import reconcile
-from smudgelex.operators.lexicon import build_lexicon, documents_per_source, lexicon_of
+from smudgelex.operators.lexicon import (
+    build_lexicon,
+    documents_per_source,
+    lexicon_of,
+    words_of,
+)
 from smudgelex.operators.tag import (
     kind_counts,
     known_tokens,
@@ -48,6 +53,7 @@ __all__ = [
     "tag_tokens",
     "tag_words",
     "tokenize",
+    "words_of",
     "write_missing",
     "write_token_stream",
     "write_token_table",

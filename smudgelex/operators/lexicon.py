@@ -19,12 +19,20 @@ def build_lexicon(tokens: DataFrame) -> DataFrame:
     return words.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 
-def lexicon_of(
+def words_of(
     df: DataFrame, text: str = "text", markup: str = "none", numeric: str = "drop"
 ) -> DataFrame:
-    """The same straight from the text, without positions and phrases."""
+    """``(token)``: every TEXT and SYMBOL token, without its place. The columns that
+    number positions and phrases are not computed at all."""
     words = F.explode(word_array(text, markup, numeric)).alias("token")
-    return build_lexicon(spread(df.select(text)).select(words))
+    return spread(df.select(text)).select(words)
+
+
+def lexicon_of(
+    df: DataFrame, text: str = "text", markup: str = "none", numeric: str = "drop"
+) -> DataFrame:
+    """The lexicon straight from the text."""
+    return build_lexicon(words_of(df, text, markup, numeric))
 
 
 def documents_per_source(df: DataFrame, source: str = "source") -> DataFrame:

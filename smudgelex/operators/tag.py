@@ -34,6 +34,8 @@ def reference_keys(
 ) -> DataFrame:
     """``(key, kind)``, one row per key, from the first column of each table.
 
+    The tables may repeat words.
+
     The result is written to the shared folder, so that every later join reads a
     finished table whose size can be measured.
     """
@@ -104,8 +106,8 @@ def tag_tokens(
         # deals alike; the partition keeps rows of equal content apart.
         place = F.xxhash64(*[F.col(c) for c in tokens.columns], F.spark_partition_id())
         deal = F.pmod(place, F.lit(salts))
-        every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-        salted = keys.select("*", every.cast("bigint").alias("salt"))
+        every = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+        salted = keys.select("*", F.explode(every).alias("salt"))
         joined = left.select("*", deal.alias("salt")).join(
             salted, ["key", "salt"], "left"
         )

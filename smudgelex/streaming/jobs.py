@@ -27,3 +27,14 @@ def stream_lexicon(tokens: DataFrame) -> DataFrame:
     """Running counts per token. The state is one row per distinct word; write it
     in ``complete`` or ``update`` mode."""
     return build_lexicon(tokens)
+
+
+def write_counts(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Keep a parquet table of the running counts, rewritten after each batch."""
+
+    def replace(batch: DataFrame, _: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+
+    writer = counts.writeStream.outputMode("complete").foreachBatch(replace)
+    writer = writer.option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()

@@ -82,15 +82,15 @@ def tag_pattern(markup: str) -> str:
 
 def _prepared(text: Column, markup: str, tags: bool) -> Column:
     out = F.regexp_replace(F.coalesce(text, F.lit("")), _BLANKED, " ")
-    ends = "/"
     if markup != "none":
         for name, mark in c.ENTITY_MARKS.items():
             out = F.replace(out, F.lit(f"&{name};"), F.lit(mark))
         out = F.regexp_replace(out, ENTITY, c.HARD)
-        ends = f"{tag_pattern(markup)}|/"
     if tags:
         return F.regexp_replace(out, r"(?=<)|(?=(?<!<)/)", c.HARD)
-    out = F.regexp_replace(out, ends, c.HARD + c.BREAK)
+    if markup != "none":
+        out = F.regexp_replace(out, tag_pattern(markup), c.HARD + c.BREAK)
+    out = F.replace(out, F.lit("/"), F.lit(c.HARD + c.BREAK))
     return F.regexp_replace(out, _CLOSING_MARK, c.BREAK)
 
 

@@ -66,7 +66,7 @@ def extract_documents(rows: DataFrame) -> DataFrame:
     # A number that is opened and never closed takes the rest of the document.
     after = F.substring_index(after, "<DOCNO>", 1)
     sections = _between(after, "<TEXT>", "</TEXT>")
-    number = F.regexp_extract("body", r"(?s)^.*<DOCNO>(.*?</DOCNO>)", 1)
+    number = F.regexp_extract(before, r"(?s)^.*<DOCNO>(.*?</DOCNO>)", 1)
     words = F.filter(
         token_array(number, "trec", "keep"), lambda t: t["type"] == "TEXT"
     )

@@ -65,18 +65,25 @@ HYPHEN_MARK = ENTITY_MARKS["hyph"]
 # Java's \s is ASCII only.
 SPACE = r"\s\x0B\x85\p{Z}"
 
-# Classes are nested so that a letter, by far the most common character, is settled
-# by the first test: Java checks a flat list of n parts through n calls.
-DASH_SET = DASHES.replace("-", r"\-")
+# Java checks a flat class of n parts through n nested calls. The classes below are
+# nested so that a letter, by far the most common character, is settled by the first
+# test, and an ASCII symbol never walks the long lists.
+def _beyond_ascii(chars: str) -> str:
+    return rf"[[^\x00-\x7F]&&[{chars}]]"
+
+
 _MORE_DASHES = DASHES.replace("-", "")
 _MORE_ENTITIES = ENTITY_FROM.replace(HYPHEN_MARK, "")
-WORD = rf"\p{{L}}[\p{{Nd}}[\-{_MORE_DASHES}{ENTITY_FROM}]]"
+WORD = rf"\p{{L}}[\p{{Nd}}\-{_beyond_ascii(_MORE_DASHES + ENTITY_FROM)}]"
 
 # Characters a number is made of, and the word characters that are none of them.
 NUMBER = rf"0-9\-{HYPHEN_MARK}"
-SOLID = rf"\p{{L}}[[\p{{Nd}}&&[^0-9]][{_MORE_DASHES}{_MORE_ENTITIES}]]"
+SOLID = rf"\p{{L}}{_beyond_ascii(rf'\p{{Nd}}{_MORE_DASHES}{_MORE_ENTITIES}')}"
 SOLID_CURRENCY = r"[\p{Sc}&&[^$]]"
 
+# ASCII symbols that end a phrase behind a word.
+CLOSING = r"""[!"#%&()*+,.:;<=>?@\[\\\]^_`{|}~]"""
+
 
 def _without(closed: str) -> str:
     return f"&&[^{closed}]" if closed else ""

@@ -40,9 +40,7 @@ _PLAIN_PIECE = r"^[\p{L} ]*+$"
 _BLANKED = rf"[\t-\r\x85{c.MARKS}]"
 
 # One phrase-ending symbol between a letter and the end of its run.
-_CLOSING_MARK = (
-    rf"[[\p{{P}}\p{{S}}]&&[^'\p{{Sc}}{c.DASH_SET}]](?<=\p{{L}}.)(?!{c.run_body('')})"
-)
+_CLOSING_MARK = rf"{c.CLOSING}(?<=\p{{L}}.)(?= |(?!{c.run_body('')}))"
 
 _LAST_SOLID_ANY = rf"(?s)^.*[{c.WORD}\p{{Sc}}]"
 _LAST_SOLID_NOT_NUMERIC = (

@@ -133,6 +133,10 @@ def final_tokens(spark, sf):
 
 
 def last_tokens(spark, sf):
+    return tokenize.last_tokens(_documents(spark, sf))
+
+
+def last_tokens_stored(spark, sf):
     flagged = tokenize.with_last_flag(_doc_tokens(spark, sf))
     return flagged.where("is_last").drop("is_last")
 
@@ -300,6 +304,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         document_strings,
         final_tokens,
         last_tokens,
+        last_tokens_stored,
         lexicon_pages,
         phrases,
         numeric_dropped,

@@ -267,6 +267,10 @@ FROM doc_tokens t JOIN tagged g ON g.token = t.token"""
         + _doc_tokens()
         + all_tokens
         + " QUALIFY position = max(position) OVER (PARTITION BY doc_id)",
+        "last_tokens_stored": w
+        + _doc_tokens()
+        + all_tokens
+        + " QUALIFY position = max(position) OVER (PARTITION BY doc_id)",
         "lexicon": w + _doc_tokens() + "," + _LEXICON + lexicon,
         "lexicon_pages": w
         + tokens("doc_tokens", _PAGES, "page_id", "html")

@@ -58,29 +58,46 @@ def _with_key(df: DataFrame, collation: str) -> DataFrame:
     return df.where(F.length("token") > 0).select("*", lookup)
 
 
+def _lexicon_join(
+    lexicon: DataFrame, keys: DataFrame, how: str, collation: str, limit: int
+) -> DataFrame:
+    """Both sides have one row per word, so no key is hot and a shuffle needs no
+    salt; keys that are measured to fit save the lexicon the second shuffle."""
+    side = F.broadcast(keys) if fits_broadcast(keys, "key", limit) else keys
+    return _with_key(lexicon, collation).join(side, "key", how)
+
+
 def tag_lexicon(
-    lexicon: DataFrame, keys: DataFrame, collation: str = "ignore_case"
+    lexicon: DataFrame,
+    keys: DataFrame,
+    collation: str = "ignore_case",
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """``(token, n, kind)``. Both sides have one row per word, so no key is hot and
-    the choice of join is left to the planner."""
-    joined = _with_key(lexicon, collation).join(keys, "key", "left")
+    """``(token, n, kind)``; the kind of a word in no table is ``missing``."""
+    joined = _lexicon_join(lexicon, keys, "left", collation, broadcast_bytes)
     kind = F.coalesce("kind", F.lit(MISSING)).alias("kind")
     return joined.select("token", "n", kind)
 
 
 def missing_tokens(
-    lexicon: DataFrame, keys: DataFrame, collation: str = "ignore_case"
+    lexicon: DataFrame,
+    keys: DataFrame,
+    collation: str = "ignore_case",
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Words found in none of the tables."""
-    out = _with_key(lexicon, collation).join(keys, "key", "left_anti")
+    out = _lexicon_join(lexicon, keys, "left_anti", collation, broadcast_bytes)
     return out.select("token", "n")
 
 
 def known_tokens(
-    lexicon: DataFrame, keys: DataFrame, collation: str = "ignore_case"
+    lexicon: DataFrame,
+    keys: DataFrame,
+    collation: str = "ignore_case",
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Words found in at least one of the tables."""
-    out = _with_key(lexicon, collation).join(keys, "key", "left_semi")
+    out = _lexicon_join(lexicon, keys, "left_semi", collation, broadcast_bytes)
     return out.select("token", "n")
 
 

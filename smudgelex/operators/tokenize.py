@@ -98,6 +98,25 @@ def doc_lengths(
     return out.select(*ids, F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"))
 
 
+def last_tokens(
+    df: DataFrame,
+    id: str | Sequence[str] = "doc_id",
+    text: str = "text",
+    markup: str = "none",
+    numeric: str = "drop",
+) -> DataFrame:
+    """The last token of each document that has one, taken inside its row."""
+    ids = id_columns(id)
+    tokens = t.token_array(text, markup, numeric).alias("tokens")
+    rows = spread(df.select(*ids, text)).select(*ids, tokens)
+    rows = rows.select(
+        *ids,
+        F.size("tokens").alias("position"),
+        F.try_element_at("tokens", F.lit(-1)).alias("last"),
+    )
+    return rows.where(F.col("position") > 0).select(*ids, "position", "last.*")
+
+
 def with_last_flag(
     tokens: DataFrame, id: str | Sequence[str] = "doc_id"
 ) -> DataFrame:

@@ -27,7 +27,6 @@ def shared_dir(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         named = tempfile.mkdtemp(prefix="smudgelex-")
-    if context.getCheckpointDir() is None:
         context.setCheckpointDir(named)
     return named
 
@@ -37,9 +36,11 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 
 def materialized(df: DataFrame) -> DataFrame:
-    """A copy of ``df`` in the shared folder; it outlives any executor."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """``df`` written to the shared folder and read back: computed once, and safe
+    from the loss of any executor."""
+    path = fresh_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def fits_broadcast(df: DataFrame, column: str, limit: int = BROADCAST_BYTES) -> bool:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -106,15 +108,11 @@ def read_corpus(
     source = F.col("_metadata.file_path").alias("source")
     if per_file is None:
         return _documents(extract_documents(rows.select("value", source)))
-    # Row numbers rise within a split, and splits are ordered by their offset. The
-    # rank filter is applied in each task before the shuffle, so a file passes on
-    # at most n rows per task.
+    # Row numbers rise within a split, and splits are ordered by their offset.
     block = F.col("_metadata.file_block_start").alias("_block")
     row = F.monotonically_increasing_id().alias("_row")
     docs = extract_documents(rows.select("value", source, block, row))
-    in_file = Window.partitionBy("source").orderBy(*_PLACE)
-    ranked = docs.withColumn("_n", F.row_number().over(in_file))
-    return _documents(ranked.where(F.col("_n") <= per_file))
+    return _documents(first_rows(docs, per_file, "source", _PLACE))
 
 
 def stream_corpus(
@@ -146,10 +144,26 @@ def first_documents(documents: DataFrame, n: int) -> DataFrame:
     return documents.limit(n)
 
 
+def first_rows(
+    df: DataFrame, n: int, group: str, order: Sequence[str], parts: int = 64
+) -> DataFrame:
+    """The first ``n`` rows of each group.
+
+    Ranked within parts of a group before they are ranked within the group, so the
+    rows of a group that holds much of the data are sorted by many tasks and at most
+    ``parts * n`` of them meet in one.
+    """
+    part = F.pmod(F.xxhash64(*order), F.lit(parts)).alias("_part")
+    ranked = df.select("*", part)
+    for keys in ([group, "_part"], [group]):
+        window = Window.partitionBy(*keys).orderBy(*order)
+        ranked = ranked.withColumn("_n", F.row_number().over(window))
+        ranked = ranked.where(F.col("_n") <= n).drop("_n")
+    return ranked.drop("_part")
+
+
 def first_per_group(
     documents: DataFrame, n: int, group: str = "source", order: str = "doc_id"
 ) -> DataFrame:
     """The first ``n`` documents of each source of a table."""
-    window = Window.partitionBy(group).orderBy(order)
-    ranked = documents.withColumn("_n", F.row_number().over(window))
-    return ranked.where(F.col("_n") <= n).drop("_n")
+    return first_rows(documents, n, group, [order])

@@ -139,6 +139,14 @@ def test_limits(spark, tmp_path):
         [(s, i) for s in "ab" for i in range(5)], "source string, doc_id int"
     )
     assert first_documents(df, 3).count() == 3
+    hot = spark.range(50_000).select(
+        F.when(F.col("id") % 3 > 0, "a").otherwise("b").alias("source"),
+        (-F.col("id")).alias("doc_id"),
+    )
+    got = first_per_group(hot, 1500).groupBy("source").agg(F.count("*"), F.max("doc_id"))
+    want = hot.orderBy("doc_id").where("source = 'a'").limit(1500).agg(F.max("doc_id"))
+    rows = {r[0]: (r[1], r[2]) for r in got.collect()}
+    assert rows["a"] == (1500, want.first()[0]) and rows["b"][0] == 1500
     got = first_per_group(df, 2).collect()
     assert sorted((r.source, r.doc_id) for r in got) == [
         ("a", 0), ("a", 1), ("b", 0), ("b", 1)

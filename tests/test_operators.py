@@ -15,7 +15,7 @@ from smudgelex import (
 )
 from smudgelex.functions import render
 from smudgelex.operators.compare import same_token, same_token_and_position
-from smudgelex.operators.tokenize import of_type, with_last_flag
+from smudgelex.operators.tokenize import last_tokens, of_type, with_last_flag
 from smudgelex.plans.scan import spread
 
 
@@ -68,8 +68,10 @@ def test_phrases_leave_symbols_out(spark):
 
 def test_last_flag(spark):
     df = spark.createDataFrame([(1, "a b c"), (2, "d")], "doc_id int, text string")
-    rows = with_last_flag(tokenize(df)).where("is_last").collect()
+    rows = with_last_flag(tokenize(df)).where("is_last").drop("is_last").collect()
     assert {(r.doc_id, r.token) for r in rows} == {(1, "c"), (2, "d")}
+    empty = spark.createDataFrame([(3, "...")], "doc_id int, text string")
+    assert set(last_tokens(df.union(empty)).collect()) == set(rows)
 
 
 def test_two_column_id(spark):

@@ -78,12 +78,18 @@ def tag_pattern(markup: str) -> str:
     return rf"<(?:![^>]*>|[^!{c.SPACE}>][^{c.SPACE}>]*[{c.SPACE}>]|[{c.SPACE}>])?"
 
 
+def _decoded(text: Column) -> Column:
+    out = text
+    for name, mark in c.ENTITY_MARKS.items():
+        out = F.replace(out, F.lit(f"&{name};"), F.lit(mark))
+    return F.regexp_replace(out, ENTITY, c.HARD)
+
+
 def _prepared(text: Column, markup: str, tags: bool) -> Column:
     out = F.regexp_replace(F.coalesce(text, F.lit("")), _BLANKED, " ")
     if markup != "none":
-        for name, mark in c.ENTITY_MARKS.items():
-            out = F.replace(out, F.lit(f"&{name};"), F.lit(mark))
-        out = F.regexp_replace(out, ENTITY, c.HARD)
+        ampersand = F.contains(text, F.lit("&"))
+        out = F.when(ampersand, _decoded(out)).otherwise(out)
     if tags:
         return F.regexp_replace(out, r"(?=<)|(?=(?<!<)/)", c.HARD)
     if markup != "none":
@@ -183,25 +189,29 @@ def word_array(
     return F.array_remove(F.split(rewritten, f"[ {c.BREAK}{c.SYMBOL}]+"), "")
 
 
-def _token_struct(token: Column, phrase: Column, markup: str, final: bool) -> Column:
-    if markup == "none":
-        fields = [token.alias("token"), F.lit("TEXT").alias("type")]
-        fields.append(phrase.alias("phrase_id"))
-    else:
-        mark = F.substring(token, 1, 1)
-        marked = mark.isin(c.START_TAG, c.END_TAG, c.SYMBOL)
-        kind = (
-            F.when(mark == c.START_TAG, "XMLSTART")
-            .when(mark == c.END_TAG, "XMLEND")
-            .when(mark == c.SYMBOL, "SYMBOL")
-            .otherwise("TEXT")
-        )
-        name = F.substring(token, F.lit(2), F.length(token))
-        fields = [
-            F.when(marked, name).otherwise(token).alias("token"),
-            kind.alias("type"),
-            F.when(marked, F.lit(0)).otherwise(phrase).alias("phrase_id"),
-        ]
+def _text_token(token: Column, phrase: Column, final: bool) -> Column:
+    fields = [token.alias("token"), F.lit("TEXT").alias("type")]
+    fields.append(phrase.alias("phrase_id"))
+    if final:
+        fields.append(F.lit(False).alias("is_final"))
+    return F.struct(*fields)
+
+
+def _any_token(token: Column, phrase: Column, final: bool) -> Column:
+    mark = F.substring(token, 1, 1)
+    kind = (
+        F.when(mark == c.START_TAG, "XMLSTART")
+        .when(mark == c.END_TAG, "XMLEND")
+        .when(mark == c.SYMBOL, "SYMBOL")
+        .otherwise("TEXT")
+    )
+    marked = mark.isin(c.START_TAG, c.END_TAG, c.SYMBOL)
+    name = F.substring(token, F.lit(2), F.length(token))
+    fields = [
+        F.when(marked, name).otherwise(token).alias("token"),
+        kind.alias("type"),
+        F.when(marked, F.lit(0)).otherwise(phrase).alias("phrase_id"),
+    ]
     if final:
         fields.append(F.lit(False).alias("is_final"))
     return F.struct(*fields)
@@ -218,13 +228,18 @@ def token_array(
 
     ``final`` adds the end sentinel, an empty NULL token behind the last one.
     """
-    nested = F.transform(
-        phrase_pieces(text, markup, numeric, tags),
-        lambda piece, i: F.transform(
-            piece_tokens(piece), lambda t: _token_struct(t, i, markup, final)
-        ),
-    )
-    tokens = F.flatten(nested)
+
+    def of_piece(piece: Column, i: Column) -> Column:
+        plain = F.transform(piece_tokens(piece), lambda t: _text_token(t, i, final))
+        if markup == "none":
+            return plain
+        # Few pieces hold anything but TEXT, so types are looked up only there.
+        mixed = F.transform(piece_tokens(piece), lambda t: _any_token(t, i, final))
+        marks = f"[{c.START_TAG}{c.END_TAG}{c.SYMBOL}]"
+        return F.when(F.rlike(piece, F.lit(marks)), mixed).otherwise(plain)
+
+    pieces = phrase_pieces(text, markup, numeric, tags)
+    tokens = F.flatten(F.transform(pieces, of_piece))
     if not final:
         return tokens
     end = F.struct(

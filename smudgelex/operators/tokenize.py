@@ -109,12 +109,9 @@ def last_tokens(
     ids = id_columns(id)
     tokens = t.token_array(text, markup, numeric).alias("tokens")
     rows = spread(df.select(*ids, text)).select(*ids, tokens)
-    rows = rows.select(
-        *ids,
-        F.size("tokens").alias("position"),
-        F.try_element_at("tokens", F.lit(-1)).alias("last"),
-    )
-    return rows.where(F.col("position") > 0).select(*ids, "position", "last.*")
+    last = F.explode(F.slice("tokens", F.lit(-1), F.lit(1))).alias("last")
+    rows = rows.select(*ids, F.size("tokens").alias("position"), last)
+    return rows.select(*ids, "position", "last.*")
 
 
 def with_last_flag(

@@ -47,12 +47,12 @@ def extract_documents(rows: DataFrame) -> DataFrame:
     then null. A number found later replaces the document begun before.
     """
     kept = [c for c in rows.columns if c not in ("value", "source")]
-    pieces = F.split("value", _END)
-    closed = F.slice(pieces, F.lit(1), F.size(pieces) - 1)
+    # A comment ends at the first ">", whatever tags it holds.
+    value = F.regexp_replace("value", "<![^>]*>", "<!>")
+    rows = rows.select("source", *kept, F.split(value, _END).alias("_pieces"))
+    closed = F.slice("_pieces", F.lit(1), F.size("_pieces") - 1)
     docs = rows.select("source", *kept, F.posexplode(closed).alias("_piece", "body"))
 
-    body = F.regexp_replace("body", "<![^>]*>", "<!>")
-    docs = docs.select("source", *kept, "_piece", body.alias("body"))
     numbered = F.contains("body", F.lit("</DOCNO>"))
     head = F.substring_index("body", "</DOCNO>", 1)
     after = F.substring_index("body", "</DOCNO>", -1)

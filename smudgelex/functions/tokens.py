@@ -26,6 +26,8 @@ character or currency sign is solid.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -67,10 +69,6 @@ def check_options(markup: str, numeric: str = "drop", tags: bool = False) -> Non
         raise ValueError("tags are only read with markup='trec'")
 
 
-def as_column(text: Column | str) -> Column:
-    return F.col(text) if isinstance(text, str) else text
-
-
 def tag_pattern(markup: str) -> str:
     """A comment, a tag, the dropped part of a broken tag, or a lone ``<``."""
     if markup == "html":
@@ -151,11 +149,8 @@ def _rewritten(lexeme: Column, markup: str, numeric: str, tags: bool) -> Column:
     return out.otherwise(_rewritten_run(lexeme, numeric))
 
 
-def _rewritten_text(
-    text: Column | str, markup: str, numeric: str, tags: bool = False
-) -> Column:
+def _rewritten_text(text: Column, markup: str, numeric: str, tags: bool) -> Column:
     """The tokens of a text, blanks between them and a mark at each phrase end."""
-    check_options(markup, numeric, tags)
     pattern = F.lit(_lexeme_pattern(markup, tags))
 
     def piece(p: Column) -> Column:
@@ -164,16 +159,31 @@ def _rewritten_text(
         plain = F.rlike(p, F.lit(_PLAIN_PIECE))
         return F.when(plain, p).otherwise(F.array_join(parts, " "))
 
-    prepared = _prepared(as_column(text), markup, tags)
+    prepared = _prepared(text, markup, tags)
     pieces = F.transform(F.split(prepared, c.BREAK), piece)
     return F.array_join(pieces, c.BREAK)
 
 
+@lru_cache(maxsize=128)
+def _rewritten_column(text: str, markup: str, numeric: str, tags: bool) -> Column:
+    # Building the expression takes some hundred calls into the JVM, and it depends
+    # on nothing but a column name and options.
+    return _rewritten_text(F.col(text), markup, numeric, tags)
+
+
+def _rewritten_of(
+    text: Column | str, markup: str, numeric: str, tags: bool = False
+) -> Column:
+    check_options(markup, numeric, tags)
+    build = _rewritten_column if isinstance(text, str) else _rewritten_text
+    return build(text, markup, numeric, tags)
+
+
 def phrase_pieces(
     text: Column | str, markup: str = "none", numeric: str = "drop", tags: bool = False
 ) -> Column:
     """``array<string>``: element *i* holds the tokens of phrase *i* and blanks."""
-    return F.split(_rewritten_text(text, markup, numeric, tags), c.BREAK)
+    return F.split(_rewritten_of(text, markup, numeric, tags), c.BREAK)
 
 
 def piece_tokens(piece: Column) -> Column:
@@ -185,7 +195,7 @@ def word_array(
     text: Column | str, markup: str = "none", numeric: str = "drop"
 ) -> Column:
     """``array<string>`` of all TEXT and SYMBOL tokens, without their places."""
-    rewritten = _rewritten_text(text, markup, numeric)
+    rewritten = _rewritten_of(text, markup, numeric)
     return F.array_remove(F.split(rewritten, f"[ {c.BREAK}{c.SYMBOL}]+"), "")
 
 

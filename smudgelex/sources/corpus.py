@@ -69,11 +69,8 @@ def extract_documents(rows: DataFrame) -> DataFrame:
     after = F.substring_index(after, "<DOCNO>", 1)
     sections = _between(after, "<TEXT>", "</TEXT>")
     number = F.regexp_extract(before, r"(?s)^.*<DOCNO>(.*?</DOCNO>)", 1)
-    words = F.filter(
-        token_array(number, "trec", "keep"), lambda t: t["type"] == "TEXT"
-    )
     docs = docs.select(
-        F.when(numbered, F.array_join(words["token"], "")).alias("orig_id"),
+        F.when(numbered, number).alias("number"),
         "source",
         F.when(malformed.isNull(), sections).alias("sections"),
         malformed.alias("malformed"),
@@ -83,7 +80,18 @@ def extract_documents(rows: DataFrame) -> DataFrame:
     # The tags between sections stay, since they end words and phrases.
     joined = F.concat(F.array_join("sections", "</TEXT><TEXT>"), F.lit("</TEXT>"))
     text = F.when(F.size("sections") == 0, "").otherwise(joined)
-    docs = docs.withColumn("text", text).drop("sections")
+    words = F.filter(
+        token_array("number", "trec", "keep"), lambda t: t["type"] == "TEXT"
+    )
+    orig_id = F.when(F.col("number").isNotNull(), F.array_join(words["token"], ""))
+    docs = docs.select(
+        orig_id.alias("orig_id"),
+        "source",
+        text.alias("text"),
+        "malformed",
+        *kept,
+        "_piece",
+    )
     return docs.select(F.xxhash64("source", "orig_id").alias("doc_id"), "*")
 
 

@@ -99,6 +99,16 @@ def test_malformed_reasons(spark, tmp_path):
     ]
 
 
+def test_bad_bytes_do_not_stop_the_run(spark, tmp_path):
+    raw = b"<DOC><DOCNO>1</DOCNO><TEXT>a\xff b\x00c \xc3\xa9</TEXT></DOC>"
+    (tmp_path / "bad.txt").write_bytes(raw)
+    assert texts(read_corpus(spark, str(tmp_path))) == {"1": ["a", "b", "c", "é"]}
+
+
+def test_no_files_no_documents(spark, tmp_path):
+    assert read_corpus(spark, str(tmp_path)).count() == 0
+
+
 def test_scan_and_file_pattern(spark, tmp_path):
     doc = "<DOC><DOCNO>{}</DOCNO></DOC>"
     for name in ("aa.txt", "deep/er/bb.txt", "with blank+plus.txt", ".hidden", "c"):

@@ -24,6 +24,14 @@ def words(spark, column, *values):
     return spark.createDataFrame([(v,) for v in values], f"{column} string")
 
 
+@pytest.fixture
+def no_auto_broadcast(spark):
+    """Small test keys would be broadcast by Spark itself."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.fixture
 def tables(spark):
     return (
@@ -83,11 +91,12 @@ def test_missing_is_the_anti_join(tables, lexicon):
     assert known.count() + missing.count() == tagged.count() == 6
 
 
-def test_lexicon_join_without_broadcast(tables, lexicon):
+def test_lexicon_join_without_broadcast(tables, lexicon, no_auto_broadcast):
     keys = reference_keys(*tables)
     for join in (tag_lexicon, missing_tokens, known_tokens):
         small, large = join(lexicon, keys), join(lexicon, keys, broadcast_bytes=0)
         assert "BroadcastHashJoin" in plan_of(small)
+        assert "SortMergeJoin" in plan_of(large)
         assert sorted(small.collect()) == sorted(large.collect())
 
 
@@ -108,7 +117,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_both_strategies_agree_on_a_hot_word(spark, tables):
+def test_both_strategies_agree_on_a_hot_word(spark, tables, no_auto_broadcast):
     keys = reference_keys(*tables)
     hot = spark.range(30_000).select(
         (F.col("id") % 7).alias("doc_id"),
@@ -118,14 +127,15 @@ def test_both_strategies_agree_on_a_hot_word(spark, tables):
     small = tag_tokens(hot, keys)
     large = tag_tokens(hot, keys, broadcast_bytes=0)
     assert "BroadcastHashJoin" in plan_of(small)
-    assert "salt" in plan_of(large) and "salt" not in plan_of(small)
+    assert "SortMergeJoin [key" in plan_of(large) and "salt" in plan_of(large)
+    assert "salt" not in plan_of(small)
     assert small.columns == ["doc_id", "position", "token", "kind"]
     assert small.count() == large.count() == 30_000
     assert small.exceptAll(large).count() == 0
     assert large.where("kind = 'names'").count() == 20_000
 
 
-def test_repeated_lines_of_a_bare_lexicon(spark, tables):
+def test_repeated_lines_of_a_bare_lexicon(spark, tables, no_auto_broadcast):
     keys = reference_keys(*tables)
     lines = words(spark, "token", *(["Paris"] * 50 + ["zz"] * 3 + [""] * 4))
     got = tag_tokens(lines, keys, broadcast_bytes=0, salts=4).groupBy("token", "kind").count()

@@ -76,6 +76,35 @@ def tag_pattern(markup: str) -> str:
     return rf"<(?:![^>]*>|[^!{c.SPACE}>][^{c.SPACE}>]*[{c.SPACE}>]|[{c.SPACE}>])?"
 
 
+def up_to_last_tag_end(text: Column | str) -> Column:
+    return F.regexp_extract(text, "(?s)^.*>", 0)
+
+
+def without_tags(text: Column, markup: str, mark: str, keep: bool = False) -> Column:
+    """Replace tags by ``mark``; ``keep`` spares those that have an end.
+
+    A tag pattern that finds no end fails once per ``<``, each time after reading to
+    the end of the text. So the text is cut where the last possible ends are, and in
+    each part every attempt succeeds: up to the last ``>`` there are tags, up to the
+    last blank there are broken tags, and behind it a ``<`` stands alone.
+    """
+
+    def cut(x: Column) -> Column:
+        tagged, tail = up_to_last_tag_end(x), F.substring_index(x, ">", -1)
+        if not keep:
+            tagged = F.regexp_replace(tagged, tag_pattern(markup), mark)
+        if markup == "html":
+            return F.concat(tagged, F.replace(tail, F.lit("<"), F.lit(mark)))
+        broken = F.regexp_extract(tail, rf"(?s)^.*[{c.SPACE}]", 0)
+        rest = F.substring(tail, F.length(broken) + 1, F.length(tail))
+        broken = F.regexp_replace(
+            broken, rf"<(?:[^!{c.SPACE}][^{c.SPACE}]*+[{c.SPACE}]|[{c.SPACE}])?", mark
+        )
+        return F.concat(tagged, broken, F.replace(rest, F.lit("<"), F.lit(mark)))
+
+    return F.element_at(F.transform(F.array(text), cut), 1)
+
+
 def _decoded(text: Column) -> Column:
     out = text
     for name, mark in c.ENTITY_MARKS.items():
@@ -88,10 +117,9 @@ def _prepared(text: Column, markup: str, tags: bool) -> Column:
     if markup != "none":
         ampersand = F.contains(text, F.lit("&"))
         out = F.when(ampersand, _decoded(out)).otherwise(out)
+        out = without_tags(out, markup, c.HARD + c.BREAK, keep=tags)
     if tags:
         return F.regexp_replace(out, r"(?=<)|(?=(?<!<)/)", c.HARD)
-    if markup != "none":
-        out = F.regexp_replace(out, tag_pattern(markup), c.HARD + c.BREAK)
     out = F.replace(out, F.lit("/"), F.lit(c.HARD + c.BREAK))
     return F.regexp_replace(out, _CLOSING_MARK, c.BREAK)
 

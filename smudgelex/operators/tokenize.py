@@ -139,7 +139,8 @@ def tag_events(
 ) -> DataFrame:
     """``(id…, seq, tag, type)``: complete tags without attributes, in order."""
     ids = id_columns(id)
-    lexemes = F.regexp_extract_all(text, F.lit(t.tag_pattern("trec")), F.lit(0))
+    tagged = t.up_to_last_tag_end(text)
+    lexemes = F.regexp_extract_all(tagged, F.lit(t.tag_pattern("trec")), F.lit(0))
     complete = F.filter(
         lexemes, lambda x: F.rlike(x, F.lit(t.COMPLETE_TAG))
     )
@@ -160,7 +161,9 @@ def entity_counts(df: DataFrame, text: str = "text", markup: str = "trec") -> Da
     high count of one points at text the decoder does not cover.
     """
     t.check_options(markup)
-    plain = F.regexp_replace(text, t.tag_pattern(markup), " ")
+    plain = F.col(text)
+    if markup != "none":
+        plain = t.without_tags(plain, markup, " ")
     names = F.regexp_extract_all(plain, F.lit(t.ENTITY), F.lit(1))
     rows = spread(df.select(text)).select(F.explode(names).alias("entity"))
     return (

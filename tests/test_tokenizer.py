@@ -1,5 +1,7 @@
 """Known strings, one per rule, in both numeric modes."""
 
+import time
+
 import pytest
 
 # Input, tokens with the numeric filter off, tokens with it on. `@k` groups tokens
@@ -206,6 +208,16 @@ def test_long_runs_do_not_overflow(tokens_of):
     assert [len(r.token) for r in rows] == [300_000, 200_000]
 
 
+def test_unclosed_markup_takes_linear_time(tokens_of):
+    texts = [part * 40_000 for part in ("<!", "<x", "< ", "&x", "<a <!")]
+    for markup in ("trec", "html"):
+        start = time.monotonic()
+        got = tokens_of(texts, markup)
+        # Minutes if each "<" were followed to the end of the text.
+        assert time.monotonic() - start < 40
+        assert [len(rows) for rows in got[:3]] == [0, 40_000, 0]
+
+
 def test_options_are_checked():
     from smudgelex.functions.tokens import token_array
 

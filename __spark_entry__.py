@@ -15,6 +15,14 @@ from smudgelex.plans.storage import fresh_path
 from smudgelex.sources import corpus, sinks, tables
 from smudgelex.streaming import jobs as streams
 
+try:
+    import corpus_pipeline
+    from smudgelex.llm import registry
+except ModuleNotFoundError as error:
+    if not (error.name or "").startswith(("corpus_pipeline", "smudgelex.llm")):
+        raise
+    corpus_pipeline = registry = None
+
 SMALL = "/root/testdata/sf0.001"
 
 
@@ -326,8 +334,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         missing_file,
         malformed_documents,
     ]
-    return {"lexicon": lexicon_query, **{q.__name__: q for q in listed}}
+    found = {"lexicon": lexicon_query, **{q.__name__: q for q in listed}}
+    if registry is not None:
+        found |= registry.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.build()
+    found = oracle.build()
+    if registry is not None:
+        found |= registry.ORACLE_SQL
+        if corpus_pipeline.ORACLE_SQL is not None:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found

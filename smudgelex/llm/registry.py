@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from smudgelex.llm.license_rules import op3_license_rules, op3_sql
+from smudgelex.llm.quality_mcd import op1_quality_mcd
 from smudgelex.llm.url_markov import op2_url_markov
 
-QUERIES = {q.__name__: q for q in (op2_url_markov,)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {q.__name__: q for q in (op1_quality_mcd, op2_url_markov, op3_license_rules)}
+ORACLE_SQL = {"op3_license_rules": op3_sql()}

@@ -2,9 +2,20 @@
 
 from __future__ import annotations
 
+from smudgelex.llm.best_fit_packing import op6_best_fit_packing
+from smudgelex.llm.byte_bpe import op7_byte_bpe
 from smudgelex.llm.license_rules import op3_license_rules, op3_sql
 from smudgelex.llm.quality_mcd import op1_quality_mcd
 from smudgelex.llm.url_markov import op2_url_markov
 
-QUERIES = {q.__name__: q for q in (op1_quality_mcd, op2_url_markov, op3_license_rules)}
+QUERIES = {
+    q.__name__: q
+    for q in (
+        op1_quality_mcd,
+        op2_url_markov,
+        op3_license_rules,
+        op6_best_fit_packing,
+        op7_byte_bpe,
+    )
+}
 ORACLE_SQL = {"op3_license_rules": op3_sql()}

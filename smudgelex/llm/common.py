@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from smudgelex.plans.storage import materialized
 
-__all__ = ["joined", "let", "materialized", "table"]
+__all__ = ["joined", "labelled_sample", "let", "materialized", "table"]
 
 # A side is broadcast only while its measured size stays below this.
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -59,3 +59,26 @@ def joined(
     return out.drop("_salt", "_salt_r", *names.values())
 
 
+
+
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, learned: Callable[[Column], Column], per_class: int
+) -> list[tuple[str, int]]:
+    """Whole texts and labels of at most ``per_class`` rows of each label, for fitting.
+
+    Rows are those whose id ``learned`` admits, taken in the order of a hash of the id,
+    so the sample does not depend on the partitions. Null labels and texts are left out.
+    """
+    known = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_label"))
+    known = known.where(learned(F.col("_id")) & F.col("_label").isin(0, 1)).distinct()
+    chosen = None
+    for value in (0, 1):
+        part = known.where(F.col("_label") == value)
+        part = part.orderBy(F.xxhash64("_id"), "_id").limit(per_class)
+        chosen = part if chosen is None else chosen.unionByName(part)
+    # At most twice ``per_class`` rows of two numbers.
+    rows = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").alias("_doc"), F.col("text").alias("_text"))
+    found = rows.join(F.broadcast(chosen), F.col("_doc") == F.col("_id"))
+    found = found.select("_id", "_label", "_text").distinct().orderBy(F.xxhash64("_id"), "_id", "_text")
+    # An id that is repeated with other texts cannot exceed the bound either.
+    return [(r["_text"], r["_label"]) for r in found.limit(2 * per_class).collect()]

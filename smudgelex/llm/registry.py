@@ -6,6 +6,7 @@ from smudgelex.llm.best_fit_packing import op6_best_fit_packing
 from smudgelex.llm.byte_bpe import op7_byte_bpe
 from smudgelex.llm.license_rules import op3_license_rules, op3_sql
 from smudgelex.llm.quality_mcd import op1_quality_mcd
+from smudgelex.llm.string_kernel import op9_string_kernel
 from smudgelex.llm.url_markov import op2_url_markov
 
 QUERIES = {
@@ -16,6 +17,7 @@ QUERIES = {
         op3_license_rules,
         op6_best_fit_packing,
         op7_byte_bpe,
+        op9_string_kernel,
     )
 }
 ORACLE_SQL = {"op3_license_rules": op3_sql()}

@@ -37,7 +37,7 @@ CACHE_WORDS = 500_000
 CACHE_CHARS = 64
 ROWS = 512
 # Pieces of one length that are ranked together.
-PART_ROWS = 20_000
+PART_ROWS = 2_000
 
 # Characters whose class, case and normal form no version of Unicode will change; an
 # apostrophe may begin a word of its own, and a less-than sign a special token.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from smudgelex.llm.attention_mil import op5_attention_mil
 from smudgelex.llm.best_fit_packing import op6_best_fit_packing
 from smudgelex.llm.byte_bpe import op7_byte_bpe
 from smudgelex.llm.license_rules import op3_license_rules, op3_sql
@@ -15,6 +16,7 @@ QUERIES = {
         op1_quality_mcd,
         op2_url_markov,
         op3_license_rules,
+        op5_attention_mil,
         op6_best_fit_packing,
         op7_byte_bpe,
         op9_string_kernel,

@@ -26,7 +26,7 @@ from smudgelex.llm.common import labelled_sample, table
 from smudgelex.llm.word_arrays import window_hashes, word_hashes, words_of
 
 # Labelled rows of each kind that a fit may see.
-PER_CLASS = 1000
+PER_CLASS = 1500
 PASSAGE = 64
 HASHED = 48
 HIDDEN = 24

@@ -5,6 +5,7 @@ from __future__ import annotations
 from smudgelex.llm.attention_mil import op5_attention_mil
 from smudgelex.llm.best_fit_packing import op6_best_fit_packing
 from smudgelex.llm.byte_bpe import op7_byte_bpe
+from smudgelex.llm.hnsw import op4_hnsw
 from smudgelex.llm.license_rules import op3_license_rules, op3_sql
 from smudgelex.llm.quality_mcd import op1_quality_mcd
 from smudgelex.llm.string_kernel import op9_string_kernel
@@ -16,6 +17,7 @@ QUERIES = {
         op1_quality_mcd,
         op2_url_markov,
         op3_license_rules,
+        op4_hnsw,
         op5_attention_mil,
         op6_best_fit_packing,
         op7_byte_bpe,

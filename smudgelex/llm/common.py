@@ -2,20 +2,35 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smudgelex.plans.storage import materialized
 
-__all__ = ["joined", "labelled_sample", "let", "materialized", "table"]
+__all__ = ["joined", "labelled_sample", "let", "materialized", "ship", "table"]
 
 # A side is broadcast only while its measured size stays below this.
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 
+def ship(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package as the driver does.
+
+    On a cluster it is installed or sent with ``--py-files``; then this changes nothing.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 

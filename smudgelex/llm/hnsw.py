@@ -300,7 +300,7 @@ class Graph:
     """A shard read back from its row."""
 
     def __init__(self, row: pd.Series):
-        dim = int(row["dim"])
+        dim = int(row["of_dim"])
         self.vectors = np.frombuffer(row["vectors"], dtype="<f8").reshape(-1, dim)
         self.ends = np.frombuffer(row["id_ends"], dtype="<i8")
         self.ids = np.frombuffer(row["ids"], dtype="<i8")
@@ -348,8 +348,9 @@ def search_index(
     # The stated queries meet every shard, a block of them at a time.
     homes = index.select("dim", "shard")
     sent = rows.select("*", block).join(homes, "dim")
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
-    graphs = index.select("*", every)
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("of_block")
+    graphs = index.withColumnsRenamed({"dim": "of_dim", "shard": "of_shard"}).select("*", every)
+    graphs = graphs.groupBy("of_dim", "of_shard", "of_block")
 
     def search(key, found: pd.DataFrame, graph: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": int, "vec_id": int})
@@ -359,8 +360,8 @@ def search_index(
         parts = Graph(graph.iloc[0]).search(found["id"].to_numpy(np.int64), vectors, k, ef)
         return pd.concat([empty, *parts])
 
-    keys = ["dim", "shard", "block"]
-    hits = sent.groupBy(*keys).cogroup(graphs.groupBy(*keys)).applyInPandas(search, "query_id bigint, vec_id bigint, score double")
+    sent = sent.groupBy("dim", "shard", "block")
+    hits = sent.cogroup(graphs).applyInPandas(search, "query_id bigint, vec_id bigint, score double")
     nearest = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = hits.distinct().select("query_id", F.row_number().over(nearest).alias("rank"), "vec_id", "score")
     return ranked.where(F.col("rank") <= k)

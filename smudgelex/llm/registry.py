@@ -9,6 +9,7 @@ from smudgelex.llm.hnsw import op4_hnsw
 from smudgelex.llm.license_rules import op3_license_rules, op3_sql
 from smudgelex.llm.quality_mcd import op1_quality_mcd
 from smudgelex.llm.string_kernel import op9_string_kernel
+from smudgelex.llm.suffix_dedup import op8_suffix_dedup
 from smudgelex.llm.url_markov import op2_url_markov
 from smudgelex.llm.weighted_minhash import op10_weighted_minhash
 
@@ -22,6 +23,7 @@ QUERIES = {
         op5_attention_mil,
         op6_best_fit_packing,
         op7_byte_bpe,
+        op8_suffix_dedup,
         op9_string_kernel,
         op10_weighted_minhash,
     )

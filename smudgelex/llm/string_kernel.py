@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from smudgelex.llm.common import labelled_sample, table
 
@@ -335,20 +336,26 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
     return fit(labelled_sample(docs, labels, "toxic", learned, per_class))
 
 
-def score_toxicity(df: DataFrame, model: Model, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(id, score)``, higher for texts more likely toxic."""
-    rows = df.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+def with_scores(df: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
+    """All columns as they are, and the score as ``name``, higher for likelier toxic."""
+    at = df.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS):
                 part = batch.slice(start, ROWS)
-                scores = pa.array(scorer.score(part.column(1).to_pylist()), pa.float64())
-                yield pa.RecordBatch.from_arrays([part.column(0), scores], names=["id", "score"])
+                texts = [t or "" for t in part.column(at).to_pylist()]
+                scores = pa.array(scorer.score(texts), pa.float64())
+                yield pa.RecordBatch.from_arrays([*part.columns, scores], names=[*part.schema.names, name])
+
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, T.DoubleType())]))
 
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, score double").withColumnRenamed("id", id)
+
+def score_toxicity(df: DataFrame, model: Model, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(id, score)``."""
+    rows = df.select(F.col(id).alias("id"), F.col(text).alias("text"))
+    return with_scores(rows, model).select(F.col("id").alias(id), "score")
 
 
 def op9_string_kernel(spark, sf):

@@ -343,10 +343,11 @@ def repeated_spans(df: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
     return spans.groupBy("text").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("spans"))
 
 
-RESULT_SCHEMA = "n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
+RESULT_SCHEMA = "n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, rest string"
 
 
-def _remove(blob: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, bytes]:
+def _remove(blob: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, bytes, str]:
+    """Bytes removed, maximal runs removed, what remains, and its whole characters."""
     kept, removed, n, at = [], 0, 0, 0
     for first, last in spans:
         start, end = max(first, at), last + LENGTH
@@ -359,12 +360,13 @@ def _remove(blob: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, bytes]
             removed += end - start
             at = max(at, end)
     kept.append(blob[at:])
-    return removed, n, b"".join(kept)
+    return removed, n, b"".join(kept), "".join([k.decode("utf-8", "ignore") for k in kept])
 
 
 def remove_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
-    """``(id, carry..., n_bytes, n_removed, n_spans, kept)``; ``kept`` is what remains,
-    as bytes, since a removed string may end inside a character."""
+    """``(id, carry..., n_bytes, n_removed, n_spans, kept, rest)``; ``kept`` is what
+    remains, as bytes, since a removed string may end inside a character; ``rest`` holds
+    the characters that remain whole, as text."""
     spans = materialized(repeated_spans(df, id, text))
     body = F.coalesce(F.col(text), F.lit(""))
     extra = [F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)]
@@ -378,6 +380,7 @@ def remove_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", carry:
         F.lit(0).cast("bigint").alias("n_removed"),
         F.lit(0).cast("bigint").alias("n_spans"),
         F.col("body").cast("binary").alias("kept"),
+        F.col("body").alias("rest"),
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -386,10 +389,10 @@ def remove_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", carry:
             for body, found in zip(batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist(), strict=True):
                 blob = body.encode()
                 out.append((len(blob), *_remove(blob, [(s["first"], s["last"]) for s in found])))
-            columns = [pa.array([r[k] for r in out], pa.int64() if k < 3 else pa.binary()) for k in range(4)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[: len(names)], *columns], names=[*names, "n_bytes", "n_removed", "n_spans", "kept"]
-            )
+            types = [pa.int64()] * 3 + [pa.binary(), pa.string()]
+            columns = [pa.array([r[k] for r in out], kind) for k, kind in enumerate(types)]
+            found = [*names, "n_bytes", "n_removed", "n_spans", "kept", "rest"]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *columns], names=found)
 
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields if f.name in names)
     dirty = rows.where("cut").drop("cut").join(spans, "text").select(*names, "body", "spans")

@@ -208,10 +208,10 @@ def _signed(rows: DataFrame, weights) -> DataFrame:
                     sizes.append(BANDS * (b > a))
                 flat = np.concatenate([*bands, np.zeros(0, np.int64)])
                 lists = pa.ListArray.from_arrays(np.cumsum([0, *sizes], dtype=np.int32), pa.array(flat))
-                columns = [part.column(0), pa.array(keys, pa.binary()), lists]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "key", "bands"])
+                columns = [part.column(0), pa.array(keys, pa.binary()), lists, part.column(2)]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "key", "bands", "note"])
 
-    return rows.mapInArrow(sign, "id bigint, key binary, bands array<bigint>")
+    return rows.mapInArrow(sign, "id bigint, key binary, bands array<bigint>, note string")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, weights, least: float) -> DataFrame:
@@ -219,7 +219,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, weights, least: float) -> Data
     pairs = materialized(pairs)
     ids = materialized(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
     # The texts that any pair needs, one row for each id.
-    needed = joined(texts, ids, ["id"], "inner").groupBy("id").agg(F.min("text").alias("text"))
+    needed = joined(texts.select("id", "text"), ids, ["id"], "inner").groupBy("id").agg(F.min("text").alias("text"))
     needed = materialized(needed)
     both = pairs.join(needed.withColumnsRenamed({"id": "a", "text": "left"}), "a")
     both = both.join(needed.withColumnsRenamed({"id": "b", "text": "right"}), "b")
@@ -251,11 +251,19 @@ def _classed(rows: DataFrame, column: str, labels: DataFrame) -> DataFrame:
 
 
 def near_duplicate_classes(
-    df: DataFrame, id: str = "doc_id", text: str = "text", least: float = SIMILARITY
+    df: DataFrame, id: str = "doc_id", text: str = "text", least: float = SIMILARITY, note: str | None = None
 ) -> DataFrame:
-    """``(id, class_id, n_links)``: the smallest id of the class, and the number of
-    verified links of the document's text that the classes were built from."""
-    rows = df.select(F.col(id).cast("bigint").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    """``(id, class_id, n_links[, note])``: the smallest id of the class, and the number
+    of verified links of the document's text that the classes were built from. The
+    string column ``note`` goes along. A null id counts as a negative number made from
+    the text."""
+    body = F.coalesce(F.col(text), F.lit(""))
+    made = -1 - F.pmod(F.xxhash64(body), F.lit(2**62))
+    rows = df.select(
+        F.coalesce(F.col(id).cast("bigint"), made).alias("id"),
+        body.alias("text"),
+        (F.lit(None).cast("string") if note is None else F.col(note)).alias("note"),
+    )
     size = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
     n = max(1, size["n"])
     runs, counts, drop = common_runs(rows, size["chars"], max(2, int(np.ceil(n / RARE))))
@@ -306,10 +314,11 @@ def near_duplicate_classes(
     texts = texts.select("key", F.coalesce("label", "first").alias("class_id"), F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"))
     texts = materialized(texts)
     # Copies of one text may be many: only texts with copies or links need the join.
-    out = joined(signed.select("id", "key", (F.size("bands") > 0).alias("some")), texts, ["key"])
+    out = joined(signed.select("id", "key", "note", (F.size("bands") > 0).alias("some")), texts, ["key"])
     class_id = F.when(F.col("some"), F.col("class_id")).otherwise(F.col("id"))
     links_of = F.when(F.col("some"), F.col("n_links")).otherwise(F.lit(0).cast("bigint"))
-    return out.select(F.col("id").alias(id), class_id.alias("class_id"), links_of.alias("n_links"))
+    kept = [] if note is None else [F.col("note").alias(note)]
+    return out.select(F.col("id").alias(id), class_id.alias("class_id"), links_of.alias("n_links"), *kept)
 
 
 def op10_weighted_minhash(spark, sf):

@@ -60,7 +60,7 @@ WIDTH = CLASSES + HASHED + 4
 
 def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Features of all passages, and the text of each; every text has a passage."""
-    words = words_of(texts)
+    words = words_of([t.lstrip(" \t\n\r\x0b\x0c") for t in texts])
     per_text = words.counts(len(texts))
     passages = np.maximum(1, -(-per_text // PASSAGE))
     first = np.cumsum(passages) - passages
@@ -73,10 +73,13 @@ def encode(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     n_words = np.bincount(passage, minlength=len(x)).astype(np.float32)
     body = words.data[words.starts[0] :]
     of = passage[words.word_of[words.starts[0] :]]
-    kinds = np.bincount(of * CLASSES + _CLASS[body], minlength=len(x) * CLASSES).reshape(-1, CLASSES)
+    # What parts two texts counts for neither.
+    of[words.doc_ends[words.doc_ends >= words.starts[0]] - words.starts[0]] = len(x)
+    rows = len(x) + 1
+    kinds = np.bincount(of * CLASSES + _CLASS[body], minlength=rows * CLASSES).reshape(-1, CLASSES)[:-1]
     pair = body[:-1].astype(np.uint32) * np.uint32(2654435761) + body[1:] * np.uint32(2246822519)
     at = of[:-1] * HASHED + (pair >> np.uint32(8)) % HASHED
-    pairs = np.bincount(at, minlength=len(x) * HASHED).reshape(-1, HASHED)
+    pairs = np.bincount(at, minlength=rows * HASHED).reshape(-1, HASHED)[:-1]
     size = np.maximum(kinds.sum(axis=1, keepdims=True), 1)
     x[:, :CLASSES] = np.log1p(100.0 * kinds / size)
     x[:, CLASSES : CLASSES + HASHED] = np.log1p(100.0 * pairs / size)

@@ -157,7 +157,8 @@ def _smoothed(counts: DataFrame) -> DataFrame:
 def calibrated_threshold(scores: DataFrame) -> int:
     """The step with the best sum of true rates on labelled URLs outside the models.
 
-    Ties go to the step nearest 0, then to the lower one; 0 without URLs of both kinds.
+    It lies half way between two occupied steps. Ties go to the threshold nearest 0, then
+    to the lower one; 0 without URLs of both kinds.
     The histogram has one row per step, whatever the number of URLs.
     """
     total = Window.partitionBy(F.lit(0))
@@ -167,8 +168,10 @@ def calibrated_threshold(scores: DataFrame) -> int:
         F.count_if(F.col("listed") == "block").alias("bad"),
     )
     zero = F.lit(0).cast("bigint")
+    below = F.lag("step").over(total.orderBy("step"))
+    middle = F.floor((F.coalesce(below, F.col("step")) + F.col("step") + 1) / 2).alias("step")
     steps = steps.select(
-        "step",
+        middle,
         (F.sum("good").over(total) - F.coalesce(F.sum("good").over(upto), zero)).alias("kept"),
         F.coalesce(F.sum("bad").over(upto), zero).alias("stopped"),
         F.sum("good").over(total).alias("good"),

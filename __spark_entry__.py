@@ -43,9 +43,7 @@ def _page_tokens(spark: SparkSession, sf: str, markup: str, **options) -> DataFr
     return tokenize.tokenize(pages, "page_id", "html", markup=markup, **options)
 
 
-def _reference_keys(
-    spark: SparkSession, sf: str, collation: str = "ignore_case"
-) -> DataFrame:
+def _reference_tables(spark: SparkSession, sf: str) -> list[DataFrame]:
     """Reference tables taken from the test tables: capitalized words of user turns
     as names, words of the benchmark as dictionary, regions and page titles as
     places."""
@@ -55,8 +53,13 @@ def _reference_keys(
     title = F.regexp_extract("html", "<title>(.*?)</title>", 1).alias("text")
     titles = lexicon.words_of(_table(spark, sf, "pages").select(title), markup="html")
     regions = lexicon.words_of(_table(spark, sf, "region"), "r_name")
-    places = titles.union(regions)
-    return tag.reference_keys(names, words, places, collation)
+    return [names, words, titles.union(regions)]
+
+
+def _reference_keys(
+    spark: SparkSession, sf: str, collation: str = "ignore_case"
+) -> DataFrame:
+    return tag.reference_keys(*_reference_tables(spark, sf), collation)
 
 
 def _lexicon(spark: SparkSession, sf: str) -> DataFrame:
@@ -112,9 +115,8 @@ def doc_length(spark, sf):
 
 
 def doc_length_stored(spark, sf):
-    return tokenize.doc_lengths(
-        _doc_tokens(spark, sf, with_final=True), _documents(spark, sf)
-    )
+    stored = _stored(_doc_tokens(spark, sf, with_final=True))
+    return tokenize.doc_lengths(stored, _documents(spark, sf))
 
 
 def docs_per_source(spark, sf):
@@ -145,7 +147,7 @@ def last_tokens(spark, sf):
 
 
 def last_tokens_stored(spark, sf):
-    flagged = tokenize.with_last_flag(_doc_tokens(spark, sf))
+    flagged = tokenize.with_last_flag(_stored(_doc_tokens(spark, sf)))
     return flagged.where("is_last").drop("is_last")
 
 
@@ -162,13 +164,32 @@ def phrases(spark, sf):
 
 
 def numeric_dropped(spark, sf):
-    kept = _doc_tokens(spark, sf, numeric="keep")
-    return compare.reconcile(kept, _doc_tokens(spark, sf))
+    kept, dropped = {"numeric": "keep"}, {"numeric": "drop"}
+    return compare.reconcile_readings(_documents(spark, sf), kept, dropped)
 
 
 def reconcile_tokens(spark, sf):
-    plain = _page_tokens(spark, sf, "html")
-    return compare.reconcile(_page_tokens(spark, sf, "trec"), plain, "page_id")
+    pages = _table(spark, sf, "pages")
+    trec, html = {"markup": "trec"}, {"markup": "html"}
+    return compare.reconcile_readings(pages, trec, html, "page_id", "html")
+
+
+def _stored(tokens: DataFrame) -> DataFrame:
+    path = fresh_path(tokens.sparkSession, "token-table")
+    sinks.write_token_table(tokens, path)
+    return tokens.sparkSession.read.schema(tokens.schema).parquet(path)
+
+
+def reconcile_stored(spark, sf):
+    """The join, for two token tables that are stored."""
+    pages = [_stored(_page_tokens(spark, sf, m)) for m in ("trec", "html")]
+    return compare.reconcile(*pages, "page_id")
+
+
+def moved_tokens(spark, sf):
+    """Tokens with bare numbers kept that are not at the same place without."""
+    kept = _stored(_doc_tokens(spark, sf, numeric="keep"))
+    return compare.different_places(kept, _stored(_doc_tokens(spark, sf)))
 
 
 def tag_lexicon(spark, sf):
@@ -247,10 +268,9 @@ def stream_tag_tokens(spark, sf):
 
 
 def stream_lexicon(spark, sf):
-    counts = streams.stream_lexicon(_token_stream(spark, sf))
     path, state = fresh_path(spark, "counts"), fresh_path(spark, "counts-state")
-    streams.write_counts(counts, path, state).awaitTermination()
-    return spark.read.schema(counts.schema).parquet(path)
+    streams.write_counts(_token_stream(spark, sf), path, state).awaitTermination()
+    return streams.read_counts(spark, path)
 
 
 def token_file(spark, sf):
@@ -280,8 +300,9 @@ def malformed_documents(spark, sf):
         .otherwise(F.concat(number, text, end))
     )
     path = fresh_path(spark, "malformed")
-    rows = _documents(spark, sf).select(F.concat(F.lit("<DOC>"), body).alias("value"))
-    rows.write.text(path)
+    rows = _documents(spark, sf)
+    rows = rows.select("lang", F.concat(F.lit("<DOC>"), body).alias("value"))
+    rows.write.partitionBy("lang").text(path)
     read = corpus.read_corpus(spark, path)
     reason = F.coalesce("malformed", F.lit("none")).alias("malformed")
     whole = F.when(F.col("malformed").isNull(), F.col("orig_id"))
@@ -290,6 +311,90 @@ def malformed_documents(spark, sf):
     )
 
 
+def corpus_ids(spark, sf):
+    """Files by language in which every number is given many times."""
+    path = fresh_path(spark, "ids")
+    docs = _documents(spark, sf).select(F.col("lang").alias("folder"), (F.col("doc_id") % 7).alias("doc_id"), "text")
+    for lang in ("de", "en", "es", "fr"):
+        sinks.write_trec(docs.where(F.col("folder") == lang), f"{path}/{lang}")
+    read = corpus.well_formed(corpus.read_corpus(spark, path))
+    folder = F.regexp_extract("source", "/([a-z]+)/[^/]*$", 1).alias("lang")
+    return read.groupBy(folder).agg(
+        F.count("*").alias("n"),
+        F.count_distinct("doc_id").alias("n_ids"),
+        F.count_distinct("orig_id").alias("n_numbers"),
+    )
+
+
+def _by_source(spark: SparkSession, sf: str) -> str:
+    """A folder of TREC files, those of a source in one, in the order of the table."""
+    path = fresh_path(spark, "by-source")
+    docs = _documents(spark, sf).select("source", "doc_id", "text")
+    value = F.format_string(
+        "<DOC><DOCNO>%s</DOCNO><TEXT>%s</TEXT></DOC>", F.col("doc_id").cast("string"), F.col("text")
+    )
+    rows = docs.repartitionByRange("source").sortWithinPartitions("source", "doc_id")
+    rows.select("source", value.alias("value")).write.partitionBy("source").text(path)
+    return path
+
+
+def first_per_file(spark, sf):
+    """The first three documents of each file."""
+    read = corpus.read_corpus(spark, _by_source(spark, sf), per_file=3)
+    source = F.regexp_extract("source", "/source=([^/]*)/[^/]*$", 1).alias("source")
+    return read.select(source, F.col("orig_id").cast("bigint").alias("doc_id"))
+
+
+def docs_per_file(spark, sf):
+    read = corpus.read_corpus(spark, _by_source(spark, sf))
+    source = F.regexp_extract("source", "/source=([^/]*)/[^/]*$", 1).alias("source")
+    return lexicon.documents_per_source(read.withColumn("source", source))
+
+
+def first_documents(spark, sf):
+    """Any hundred documents."""
+    few = corpus.first_documents(_documents(spark, sf), 100)
+    return few.agg(F.count("*").alias("n"))
+
+
+def file_pattern(spark, sf):
+    """Files told apart by the ends of their names; only those of one kind are read."""
+    path = fresh_path(spark, "pattern")
+    docs = _documents(spark, sf)
+    for lang, compression in (("en", "none"), ("de", "gzip")):
+        doc = F.format_string("<DOC><DOCNO>%s</DOCNO></DOC>", F.col("doc_id").cast("string"))
+        rows = docs.where(F.col("lang") == lang).select(doc.alias("value"))
+        rows.write.mode("append").option("compression", compression).text(path)
+    read = corpus.read_corpus(spark, path, pattern=r"\.txt$")
+    return read.select(F.col("orig_id").cast("bigint").alias("doc_id"))
+
+
+# Letters and signs, and the entities that are kept for them.
+ENTITIES = {
+    "é": "eacute", "ü": "uuml", "ñ": "ntilde", "á": "aacute", "í": "iacute", "ó": "oacute",
+    "-": "hyph", "'": "rsquo",
+}
+
+
+def tokenize_entities(spark, sf):
+    """Texts whose accents and hyphens are spelled as entities."""
+    text = F.col("text")
+    for letter, name in ENTITIES.items():
+        text = F.replace(text, F.lit(letter), F.lit(f"&{name};"))
+    docs = _documents(spark, sf).withColumn("text", text)
+    return tokenize.tokenize(docs, markup="trec")
+
+
+def tag_read_reference(spark, sf):
+    """Reference tables that are read from where they are stored."""
+    read = []
+    for words in _reference_tables(spark, sf):
+        path = fresh_path(spark, "reference")
+        words.write.parquet(path)
+        read.append(tables.read_reference(spark, words.columns[0], path=path))
+    return tag.tag_lexicon(_lexicon(spark, sf), tag.reference_keys(*read))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: documents to word and token counts per kind."""
     return kind_counts(spark, SMALL)
@@ -333,6 +438,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         token_file,
         missing_file,
         malformed_documents,
+        reconcile_stored,
+        moved_tokens,
+        corpus_ids,
+        first_per_file,
+        docs_per_file,
+        first_documents,
+        file_pattern,
+        tokenize_entities,
+        tag_read_reference,
     ]
     found = {"lexicon": lexicon_query, **{q.__name__: q for q in listed}}
     if registry is not None:

@@ -199,6 +199,17 @@ tags AS (
   WHERE regexp_full_match(lex, {_q(rf'<[^{_SPACE}>]*>')}) AND NOT starts_with(lex, '<!'))"""
 
 
+def _entities() -> str:
+    """Letters and signs spelled as entities, whose table is spelled here once more."""
+    text = "text"
+    for letter, name in (
+        ("é", "eacute"), ("ü", "uuml"), ("ñ", "ntilde"), ("á", "aacute"),
+        ("í", "iacute"), ("ó", "oacute"), ("-", "hyph"), ("'", "rsquo"),
+    ):
+        text = f"replace({text}, {_q(letter)}, '&{name};')"
+    return text
+
+
 def _trec_text(closing: str = "\n") -> str:
     return f"SELECT doc_id, chr(10) || text || {_q(closing)} || '</TEXT>' AS text FROM documents"
 
@@ -329,7 +340,29 @@ FROM doc_tokens t JOIN tagged g ON g.token = t.token"""
         "missing_file": w + _tagged() + "SELECT token FROM tagged WHERE kind = 'missing'",
         "malformed_documents": """
 SELECT CASE lang WHEN 'de' THEN 'no document number' WHEN 'es' THEN 'text before document number'
-  ELSE 'none' END AS malformed, count(*) AS n, count(DISTINCT CASE WHEN lang NOT IN ('de', 'es')
-  THEN doc_id END) AS n_ids
-FROM documents WHERE lang <> 'fr' GROUP BY 1""",
+  WHEN 'fr' THEN 'not closed' ELSE 'none' END AS malformed, count(*) AS n,
+  count(DISTINCT CASE WHEN lang NOT IN ('de', 'es', 'fr') THEN doc_id END) AS n_ids
+FROM documents GROUP BY 1""",
+        "reconcile_stored": w
+        + tokens("marked", _PAGES, "page_id", "trec")
+        + ","
+        + tokens("stripped", _PAGES, "page_id", "html")
+        + _reconcile("marked", "stripped", "page_id"),
+        "moved_tokens": w
+        + tokens("kept", _DOCS, numeric="keep")
+        + ","
+        + tokens("dropped", _DOCS)
+        + "SELECT doc_id, position, token, type FROM kept "
+        "EXCEPT SELECT doc_id, position, token, type FROM dropped",
+        "corpus_ids": "SELECT lang, count(*) AS n, count(*) AS n_ids, "
+        "count(DISTINCT doc_id % 7) AS n_numbers FROM documents GROUP BY lang",
+        "first_per_file": "SELECT source, doc_id FROM documents "
+        "QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 3",
+        "docs_per_file": "SELECT source, count(*) AS n_docs FROM documents GROUP BY source",
+        "first_documents": "SELECT least(count(*), 100) AS n FROM documents",
+        "file_pattern": "SELECT doc_id FROM documents WHERE lang = 'en'",
+        "tokenize_entities": w
+        + tokens("doc_tokens", f"SELECT doc_id, {_entities()} AS text FROM documents", markup="trec")
+        + all_tokens,
+        "tag_read_reference": w + _tagged() + "SELECT token, n, kind FROM tagged",
     }

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from smudgelex.functions.tokens import token_array
 from smudgelex.operators.tokenize import id_columns
+from smudgelex.plans.scan import spread
 
 
 def same_token(left: Column, right: Column) -> Column:
@@ -40,3 +42,35 @@ def reconcile(
         F.col("b.token").alias("right_token"),
         F.col("b.type").alias("right_type"),
     )
+
+
+def reconcile_readings(
+    df: DataFrame,
+    left: dict,
+    right: dict,
+    id: str | Sequence[str] = "doc_id",
+    text: str = "text",
+) -> DataFrame:
+    """``reconcile`` for two readings of one text, given by their options ``markup``,
+    ``numeric`` and ``tags``: compared inside the row, without a join or a shuffle."""
+    on = id_columns(id)
+    a, b = token_array(text, **left).alias("a"), token_array(text, **right).alias("b")
+    pairs = spread(df.select(*on, text)).select(*on, F.arrays_zip(a, b).alias("pairs"))
+    rows = pairs.select(*on, F.posexplode("pairs").alias("pos", "pair"))
+    return rows.where(~same_token(F.col("pair.a"), F.col("pair.b"))).select(
+        *on,
+        (F.col("pos") + 1).alias("position"),
+        F.col("pair.a.token").alias("left_token"),
+        F.col("pair.a.type").alias("left_type"),
+        F.col("pair.b.token").alias("right_token"),
+        F.col("pair.b.type").alias("right_type"),
+    )
+
+
+def different_places(
+    left: DataFrame, right: DataFrame, id: str | Sequence[str] = "doc_id"
+) -> DataFrame:
+    """Tokens of ``left`` that ``right`` does not have at the same position."""
+    on = id_columns(id)
+    keys = [*on, "position", "token", "type"]
+    return left.select(*keys).join(right.select(*keys).distinct(), keys, "left_anti")

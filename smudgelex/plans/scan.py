@@ -27,4 +27,14 @@ def spread(df: DataFrame) -> DataFrame:
     parts = min(cores, size // _MIN_TASK_BYTES + 1)
     if size >= cores * split or parts == 1:
         return df
-    return df.repartition(parts)
+    # Only now is the input planned. Partitions are never made fewer, and where there
+    # are enough they stay as they are.
+    return df if _partitions(df) >= parts else df.repartition(parts)
+
+
+def _partitions(df: DataFrame) -> int:
+    """As planned; a scan is asked directly, which runs nothing."""
+    plan = df._jdf.queryExecution().sparkPlan()
+    if "Exchange" in plan.toString() or "Join" in plan.toString():
+        return plan.outputPartitioning().numPartitions()
+    return df.rdd.getNumPartitions()

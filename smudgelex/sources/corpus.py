@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from smudgelex.functions.tokens import token_array
+from smudgelex.functions.tokens import token_array, up_to_last_tag_end
 
 # Fixed value: names that do not start with a dot and have two characters or more.
 DEFAULT_PATTERN = r"^[^\.].+"
@@ -28,37 +28,104 @@ def _file_name() -> Column:
 
 
 def _scan(reader, root: str, pattern: str) -> DataFrame:
-    # One row per start tag: such a source is still splittable, so a large file
-    # is read by many tasks and never becomes one row.
+    """``(value, source, _block, _row)``, one row per start tag.
+
+    Such a source is still splittable, so a large file is read by many tasks and never
+    becomes one row. Row numbers rise within a split, and splits are ordered by their
+    offset, so block and row are a document's place in its file.
+    """
     rows = reader.option("recursiveFileLookup", True).option("lineSep", _START)
-    return rows.text(root).where(F.rlike(_file_name(), F.lit(pattern)))
+    rows = rows.text(root).where(F.rlike(_file_name(), F.lit(pattern)))
+    # A stream has no row numbers; there the text itself tells the rows of a split apart.
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    row = F.md5("value") if rows.isStreaming else row
+    return rows.select(
+        "value",
+        F.col("_metadata.file_path").alias("source"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        row.alias("_row"),
+    )
 
 
 def _between(text: Column, start: str, end: str) -> Column:
     return F.regexp_extract_all(text, F.lit(rf"(?s){start}(.*?)(?:{end}|\z)"), F.lit(1))
 
 
+def _plain_markup(value: Column | str) -> Column:
+    """Without what comments and tags hold, so that the tags of the format stand out.
+
+    A comment ends at the first ``>``, whatever tags it holds, and a tag that was opened
+    before another one swallows it. Both end in ``>``, so only the text up to the last
+    one is searched, where every comment finds its end; tag names have a bound.
+    """
+
+    def cut(x: Column) -> Column:
+        tagged = F.regexp_replace(up_to_last_tag_end(x), "<![^>]*>", "<!>")
+        tagged = F.regexp_replace(tagged, r"<[^\s<>!][^\s<>]{0,255}<[^\s>]{0,255}>", "<!>")
+        return F.concat(tagged, F.substring_index(x, ">", -1))
+
+    value = F.col(value) if isinstance(value, str) else value
+    return F.get(F.transform(F.array(value), cut), F.lit(0))
+
+
+def _rejoined(rows: DataFrame) -> DataFrame:
+    """Put documents together again that a start tag in their text cut apart.
+
+    A row that begins with no document number goes on with the row before it, if that
+    one left a document open. Only rows that are odd in this way are moved; they are
+    put in order by file.
+    """
+    plain = _plain_markup("value")
+    rows = rows.select("*", plain.alias("_plain"))
+    ended = F.contains("_plain", F.lit(_END))
+    tail = F.substring_index("_plain", _END, -1)
+    opened = F.contains(tail, F.lit("<DOCNO>")) | F.contains(tail, F.lit("<TEXT>"))
+    goes_on = ~F.contains(F.substring_index("_plain", _END, 1), F.lit("</DOCNO>"))
+    rows = rows.select("*", (opened | (goes_on & ~ended)).alias("_open"), goes_on.alias("_goes_on"))
+    odd = F.col("_open") | F.col("_goes_on")
+    place = Window.partitionBy("source").orderBy("_block", "_row")
+    before = lambda c: F.lag(c).over(place)
+    follows = F.when(
+        F.col("_block") == before("_block"), F.col("_row") == before("_row") + 1
+    ).otherwise(F.col("_row") == 0)
+    linked = F.coalesce(F.col("_goes_on") & before("_open") & follows, F.lit(False))
+    chains = rows.where(odd).select("*", F.sum((~linked).cast("int")).over(place).alias("_chain"))
+    parts = F.array_sort(F.collect_list(F.struct("_block", "_row", "value")))
+    whole = chains.groupBy("source", "_chain").agg(parts.alias("p")).select(
+        F.array_join(F.transform("p", lambda p: p["value"]), _START).alias("value"),
+        "source",
+        F.get("p", F.lit(0))["_block"].alias("_block"),
+        F.get("p", F.lit(0))["_row"].alias("_row"),
+    )
+    sound = rows.where(~odd).select("value", "source", "_block", "_row")
+    return sound.unionByName(whole)
+
+
 def extract_documents(rows: DataFrame) -> DataFrame:
     """Columns ``value`` and ``source`` to documents; other columns stay.
 
-    Only a document closed by its end tag counts: what follows the last end tag in
-    a row is the unread rest of a document cut off by the next start tag or by the
-    end of the file. ``malformed`` says why a document cannot be read; its text is
-    then null. A number found later replaces the document begun before.
+    ``malformed`` says why a document cannot be read; its text is then null. What
+    follows the last end tag in a row and holds a tag of the format is a document that
+    is ``not closed``. A number found later replaces the document begun before. The
+    ``doc_id`` is a digest of the file, the place in it as far as other columns tell,
+    and the number.
     """
     kept = [c for c in rows.columns if c not in ("value", "source")]
-    # A comment ends at the first ">", whatever tags it holds.
-    value = F.regexp_replace("value", "<![^>]*>", "<!>")
-    rows = rows.select("source", *kept, F.split(value, _END).alias("_pieces"))
-    closed = F.slice("_pieces", F.lit(1), F.size("_pieces") - 1)
-    docs = rows.select("source", *kept, F.posexplode(closed).alias("_piece", "body"))
+    rows = rows.select("source", *kept, F.split(_plain_markup("value"), _END).alias("_pieces"))
+    last = F.size("_pieces") - 1
+    docs = rows.select("source", *kept, F.posexplode("_pieces").alias("_piece", "body"), last.alias("_last"))
+    unclosed = F.col("_piece") == F.col("_last")
+    begun = F.contains("body", F.lit("<DOCNO>")) | F.contains("body", F.lit("<TEXT>"))
+    docs = docs.where(~unclosed | begun)
 
     numbered = F.contains("body", F.lit("</DOCNO>"))
     head = F.substring_index("body", "</DOCNO>", 1)
     after = F.substring_index("body", "</DOCNO>", -1)
     before = F.left("body", F.length("body") - F.length(after))
-    malformed = F.when(~numbered, "no document number").when(
-        F.contains(head, F.lit("<TEXT>")), "text before document number"
+    malformed = (
+        F.when(unclosed, "not closed")
+        .when(~numbered, "no document number")
+        .when(F.contains(head, F.lit("<TEXT>")), "text before document number")
     )
     # A text section that was open when the number was read stays open.
     opened = F.contains(before, F.lit("<TEXT>")) & ~F.contains(
@@ -92,7 +159,9 @@ def extract_documents(rows: DataFrame) -> DataFrame:
         *kept,
         "_piece",
     )
-    return docs.select(F.xxhash64("source", "orig_id").alias("doc_id"), "*")
+    place = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("source", *kept, "_piece")]
+    number = F.coalesce("orig_id", F.lit(""))
+    return docs.select(F.md5(F.concat_ws("\n", *place, number)).alias("doc_id"), "*")
 
 
 def _documents(df: DataFrame) -> DataFrame:
@@ -109,18 +178,16 @@ def read_corpus(
 
     ``pattern`` is searched in the file name. ``per_file`` keeps the first n closed
     documents of each file. Names that begin with ``_`` or ``.`` are hidden from
-    Spark's file sources. A document that is not closed is left out.
+    Spark's file sources. No document is left out: one that is not closed is a row with
+    that reason. A ``doc_id`` is unique, and stays the same as long as the files, their
+    order and the size of splits do.
     """
     check_pattern(spark, pattern)
-    rows = _scan(spark.read, root, pattern)
-    source = F.col("_metadata.file_path").alias("source")
-    if per_file is None:
-        return _documents(extract_documents(rows.select("value", source)))
-    # Row numbers rise within a split, and splits are ordered by their offset.
-    block = F.col("_metadata.file_block_start").alias("_block")
-    row = F.monotonically_increasing_id().alias("_row")
-    docs = extract_documents(rows.select("value", source, block, row))
-    return _documents(first_rows(docs, per_file, "source", _PLACE))
+    docs = extract_documents(_rejoined(_scan(spark.read, root, pattern)))
+    if per_file is not None:
+        closed = docs.where(~F.col("malformed").eqNullSafe("not closed"))
+        docs = first_rows(closed, per_file, "source", _PLACE)
+    return _documents(docs)
 
 
 def stream_corpus(
@@ -129,14 +196,18 @@ def stream_corpus(
     pattern: str = DEFAULT_PATTERN,
     max_files: int | None = None,
 ) -> DataFrame:
-    """The same documents as a stream of the files that arrive below ``root``."""
+    """The same documents as a stream of the files that arrive below ``root``.
+
+    A document that a start tag in its own text cuts apart is not put together again
+    here, since a stream has no order to go by: its parts are malformed rows, ``not
+    closed`` and ``no document number``. Documents of one split share an id only if they
+    are equal to the byte.
+    """
     check_pattern(spark, pattern)
     reader = spark.readStream
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    rows = _scan(reader, root, pattern)
-    source = F.col("_metadata.file_path").alias("source")
-    return _documents(extract_documents(rows.select("value", source)))
+    return _documents(extract_documents(_scan(reader, root, pattern)))
 
 
 def well_formed(documents: DataFrame) -> DataFrame:

@@ -22,14 +22,19 @@ def write_missing(tagged: DataFrame, path: str) -> None:
 
 def write_trec(
     documents: DataFrame, path: str, id: str = "doc_id", text: str = "text"
-) -> None:
-    """A table as SGML files that ``read_corpus`` reads back.
+) -> DataFrame:
+    """A table as SGML files that ``read_corpus`` reads back; a NULL text is empty.
 
-    The text is written as it is, so it must not hold the tags of the format.
+    A text that holds a tag of the format or opens a comment would come back as
+    something else. Such rows are not written but returned, as they are.
     """
+    value = F.coalesce(F.col(text), F.lit(""))
+    clashes = F.rlike(value, F.lit("</?(?:DOC|DOCNO|TEXT)>|<!"))
     doc = F.format_string(
         "<DOC>\n<DOCNO>%s</DOCNO>\n<TEXT>\n%s\n</TEXT>\n</DOC>",
         F.col(id).cast("string"),
-        F.col(text),
+        value,
     )
-    documents.select(doc.alias("value")).write.mode("overwrite").text(path)
+    written = documents.where(~clashes).select(doc.alias("value"))
+    written.write.mode("overwrite").text(path)
+    return documents.where(clashes)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from smudgelex.operators.lexicon import build_lexicon
@@ -23,18 +24,35 @@ def write_token_stream(
     return writer.start()
 
 
-def stream_lexicon(tokens: DataFrame) -> DataFrame:
-    """Running counts per token. The state is one row per distinct word; write it
-    in ``complete`` or ``update`` mode."""
-    return build_lexicon(tokens)
-
+def write_counts(
+    tokens: DataFrame, path: str, checkpoint: str, available_now: bool = True
+) -> StreamingQuery:
+    """Count a token stream, a folder of counts for each micro-batch.
 
-def write_counts(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Keep a parquet table of the running counts, rewritten after each batch."""
+    No state is kept: a batch is counted by itself and replaces what an earlier attempt
+    at the same batch may have written. ``read_counts`` adds the batches up.
+    """
 
-    def replace(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+    def count(batch: DataFrame, number: int) -> None:
+        build_lexicon(batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    writer = counts.writeStream.outputMode("complete").foreachBatch(replace)
+    writer = tokens.writeStream.foreachBatch(count)
     writer = writer.option("checkpointLocation", checkpoint)
-    return writer.trigger(availableNow=True).start()
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()
+
+
+def read_counts(spark: SparkSession, path: str) -> DataFrame:
+    """``(token, n)`` of all batches written so far."""
+    parts = spark.read.schema("token string, n bigint, batch bigint").parquet(path)
+    return parts.groupBy("token").agg(F.sum("n").alias("n"))
+
+
+def compact_counts(spark: SparkSession, path: str, into: str) -> None:
+    """The batches of a stream that is not running as one batch in another folder.
+
+    Run the stream on with the same checkpoint and the new folder: batch numbers rise,
+    so later batches stand beside the sum.
+    """
+    read_counts(spark, path).write.mode("overwrite").parquet(f"{into}/batch=-1")

@@ -1,5 +1,7 @@
 """Reading files: splitting, numbers, sections, malformed documents, limits."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,7 +12,12 @@ from smudgelex.sources.corpus import (
     quarantined,
     well_formed,
 )
-from smudgelex.sources.sinks import write_missing, write_token_table, write_tokens
+from smudgelex.sources.sinks import (
+    write_missing,
+    write_token_table,
+    write_tokens,
+    write_trec,
+)
 from smudgelex.sources.tables import read_reference
 
 SAMPLE = """<DOC>
@@ -49,14 +56,63 @@ def test_sample(spark, tmp_path):
     docs = read_corpus(spark, str(tmp_path))
     assert docs.columns == ["doc_id", "orig_id", "source", "text", "malformed"]
     assert texts(docs) == {"A-1": ["one", "two", "three"], "A-2": ["four"]}
-    bad = quarantined(docs).collect()
-    assert [(r.malformed, r.text) for r in bad] == [("no document number", None)]
+    bad = sorted((r.malformed, r.orig_id, r.text) for r in quarantined(docs).collect())
+    assert bad == [("no document number", None, None), ("not closed", "A-3", None)]
     positions = tokenize(well_formed(docs), "orig_id", markup="trec")
     got = positions.where("orig_id = 'A-1'").orderBy("position").collect()
     assert [(r.token, r.position) for r in got] == [("one", 1), ("two", 2), ("three", 3)]
-    ids = docs.select("doc_id", "orig_id", "source").where("orig_id is not null")
-    want = ids.where(F.col("doc_id") != F.xxhash64("source", "orig_id"))
-    assert want.count() == 0
+    assert docs.select("doc_id").distinct().count() == docs.count() == 4
+
+
+def test_one_number_two_documents(spark, tmp_path):
+    doc = "<DOC><DOCNO>X</DOCNO><TEXT>{}</TEXT></DOC>"
+    write(tmp_path, "two.txt", doc.format("a b") + doc.format("a b c") + doc.format("a b"))
+    write(tmp_path, "deep/two.txt", doc.format("a b"))
+    docs = read_corpus(spark, str(tmp_path))
+    lengths = tokenize(docs, markup="trec").groupBy("doc_id").count().collect()
+    assert sorted(r["count"] for r in lengths) == [2, 2, 2, 3]
+
+
+def test_start_tags_inside_a_document(spark, tmp_path):
+    doc = "<DOC><DOCNO>{0}</DOCNO><TEXT>{1}</TEXT></DOC>\n"
+    cut = [("c", "aa <!-- <DOC> --> bb"), ("t", "dd <DOC> ee"), ("m", "x <DOC> y <DOC> z")]
+    sound = [(f"s{i}", f"w{i}") for i in range(4)]
+    order = [sound[0], cut[0], sound[1], cut[1], cut[2], sound[2], sound[3]]
+    write(tmp_path, "in.txt", "".join(doc.format(*d) for d in order) + "<DOC><TEXT>no number</TEXT></DOC>")
+    docs = read_corpus(spark, str(tmp_path))
+    assert texts(docs) == {
+        "s0": ["w0"], "s1": ["w1"], "s2": ["w2"], "s3": ["w3"],
+        "c": ["aa", "bb"], "t": ["dd", "ee"], "m": ["x", "y", "z"],
+    }
+    assert [r.malformed for r in quarantined(docs).collect()] == ["no document number"]
+
+
+def test_rejoined_across_splits(spark, tmp_path):
+    docs = [f"<DOC><DOCNO>d{i}</DOCNO><TEXT>a{i} <DOC> b{i}</TEXT></DOC>\n" for i in range(3000)]
+    write(tmp_path, "large.txt", "".join(docs))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        got = texts(read_corpus(spark, str(tmp_path)))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {f"d{i}": [f"a{i}", f"b{i}"] for i in range(3000)}
+
+
+def test_section_opened_inside_another_tag(spark, tmp_path):
+    write(tmp_path, "in.txt", "<DOC><DOCNO>4</DOCNO>zz <a<TEXT>x</DOC><DOC><DOCNO>5</DOCNO><b <TEXT>y</DOC>")
+    assert texts(read_corpus(spark, str(tmp_path))) == {"4": [], "5": ["y"]}
+
+
+def test_unclosed_markup_is_read_in_linear_time(spark, tmp_path):
+    def seconds(n):
+        folder = tmp_path / str(n)
+        write(folder, "in.txt", "<DOC><DOCNO>1</DOCNO><TEXT>x</TEXT></DOC>" + "<!" * n + "\n" + "<a" * n)
+        start = time.perf_counter()
+        assert read_corpus(spark, str(folder)).count() == 1
+        return time.perf_counter() - start
+
+    seconds(10)
+    assert seconds(400_000) < 20 * max(seconds(40_000), 1)
 
 
 STATES = {
@@ -192,3 +248,11 @@ def test_sinks(spark, tmp_path):
     write_missing(tagged, str(tmp_path / "missing"))
     rows = read_lexicon(spark, str(tmp_path / "missing")).collect()
     assert [r.token for r in rows] == ["word2"]
+
+
+def test_trec_files_lose_nothing(spark, tmp_path):
+    rows = [(1, None), (2, ""), (3, "a b"), (4, "x </TEXT> y"), (5, "p <DOC> q"), (6, "c <! d"), (7, "e < f")]
+    df = spark.createDataFrame(rows, "doc_id int, text string")
+    rejected = write_trec(df, str(tmp_path / "out"))
+    assert sorted(r.doc_id for r in rejected.collect()) == [4, 5, 6]
+    assert texts(read_corpus(spark, str(tmp_path / "out"))) == {"1": [], "2": [], "3": ["a", "b"], "7": ["e", "f"]}

@@ -174,3 +174,35 @@ def test_large_inputs_are_not_spread(spark, small):
         assert "Exchange" not in plan_of(spread(docs))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_partitions_are_never_made_fewer(spark):
+    from smudgelex.plans.scan import spread
+
+    def parts(df):
+        return spread(df).rdd.getNumPartitions()
+
+    rows = spark.range(1_000_000).selectExpr("id", "repeat('x', 40) as text")
+    assert parts(rows.repartition(50)) == 50
+    assert parts(spark.range(0, 1_000_000, 1, 30).selectExpr("id", "repeat('x', 40) as text")) == 30
+    assert parts(spark.range(0, 1_000_000, 1, 1).selectExpr("id", "repeat('x', 40) as text")) > 1
+
+
+def test_two_readings_in_a_row_as_by_join(spark, small):
+    from smudgelex.operators import compare, tokenize
+
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    joined = compare.reconcile(tokenize.tokenize(docs, numeric="keep"), tokenize.tokenize(docs))
+    inside = compare.reconcile_readings(docs, {"numeric": "keep"}, {"numeric": "drop"})
+    assert joined.exceptAll(inside).count() == inside.exceptAll(joined).count() == 0 < inside.count()
+    plan = inside._jdf.queryExecution().toString()
+    assert "hashpartitioning" not in plan and "Join" not in plan
+
+
+def test_key_size_is_what_a_broadcast_takes(spark):
+    from smudgelex.plans import storage
+
+    keys = spark.range(200_000).selectExpr("concat('key', id) as key", "'dict' as kind")
+    size = 200_000 * 124 + keys.selectExpr("sum(octet_length(key)) as s").first().s
+    assert storage.fits_broadcast(keys, "key", int(size * 1.01))
+    assert not storage.fits_broadcast(keys, "key", int(size * 0.99))

@@ -10,7 +10,7 @@ from smudgelex import (
 )
 from smudgelex.operators.lexicon import build_lexicon
 from smudgelex.sources.corpus import well_formed
-from smudgelex.streaming.jobs import stream_lexicon, write_counts
+from smudgelex.streaming.jobs import compact_counts, read_counts, write_counts
 
 DOC = "<DOC><DOCNO>{0}</DOCNO><TEXT>word{0} same, &eacute; 12 {0}</TEXT></DOC>\n"
 
@@ -26,10 +26,12 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
 
     def run():
         docs = well_formed(stream_corpus(spark, str(root), max_files=1))
-        write_token_stream(tokenize(docs, markup="trec"), out, state).awaitTermination()
+        tokens = tokenize(docs, ["orig_id", "source"], markup="trec")
+        write_token_stream(tokens, out, state).awaitTermination()
 
     def batch():
-        return tokenize(well_formed(read_corpus(spark, str(root))), markup="trec")
+        docs = well_formed(read_corpus(spark, str(root)))
+        return tokenize(docs, ["orig_id", "source"], markup="trec")
 
     run()
     write(root, "two.txt", range(20, 50))
@@ -57,7 +59,22 @@ def test_running_lexicon(spark, tmp_path):
     write(root, "one.txt", range(10))
     write(root, "two.txt", range(10, 15))
     tokens = tokenize(stream_corpus(spark, str(root), max_files=1), markup="trec")
-    write_counts(stream_lexicon(tokens), out, state).awaitTermination()
+    write_counts(tokens, out, state).awaitTermination()
     want = build_lexicon(tokenize(read_corpus(spark, str(root)), markup="trec"))
-    got = spark.read.parquet(out)
-    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+
+    def same(path):
+        got = read_counts(spark, path)
+        return got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+
+    assert same(out)
+    write_counts(tokens, out, state).awaitTermination()  # nothing new
+    assert same(out)
+    # A batch that is run again replaces its own counts.
+    commits = tmp_path / "state" / "commits"
+    last = max(int(p.name) for p in commits.glob("[0-9]*"))
+    for name in (f"{last}", f".{last}.crc"):
+        (commits / name).unlink(missing_ok=True)
+    write_counts(tokens, out, state).awaitTermination()
+    assert same(out)
+    compact_counts(spark, out, out + "-sum")
+    assert same(out + "-sum")

@@ -144,7 +144,7 @@ def test_repeated_lines_of_a_bare_lexicon(spark, tables, no_auto_broadcast):
 
 def test_broadcast_needs_a_measured_size(spark, tables):
     keys = reference_keys(*tables)
-    size = keys.agg(F.sum(F.octet_length("key") + 48)).first()[0]
+    size = keys.agg(F.sum(F.octet_length("key") + 124)).first()[0]
     assert storage.fits_broadcast(keys, "key", size)
     assert not storage.fits_broadcast(keys, "key", size - 1)
     assert storage.fits_broadcast(keys.where("false"), "key", 0)

@@ -4,8 +4,8 @@ import time
 
 import pytest
 
-# Input, tokens with the numeric filter off, tokens with it on. `@k` groups tokens
-# into phrases, [S] and [E] are tags, [Y] is a symbol.
+# Input, tokens with the numeric filter off, tokens with it on. `@k`
+# groups tokens into phrases, [S] and [E] are tags, [Y] is a symbol.
 GOLDEN = [
     ("(7 CFR) 8c(15)(A)", "7@1 CFR@1 8c-15-A@2", "CFR@1 8c-15-A@2"),
     (

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from smudgelex.llm.common import table
 
 # Pieces remembered by a worker before it starts anew, and the longest remembered one.
-CACHE_PIECES = 300_000
+CACHE_PIECES = 500_000
 CACHE_CHARS = 64
 # Rows handed back at a time, so that a batch of long texts stays small.
 ROWS = 256
@@ -159,6 +159,12 @@ class _Pieces(dict):
         return found
 
 
+@lru_cache(maxsize=1)
+def pieces_of(path: str) -> _Pieces:
+    """What a worker remembers from task to task."""
+    return _Pieces(merges_of(path))
+
+
 def encode_texts(
     df: DataFrame,
     id: str = "doc_id",
@@ -171,7 +177,7 @@ def encode_texts(
     rows = df.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = _Pieces(merges_of(path))
+        pieces = pieces_of(path)
         cut = regex.compile(pattern).findall
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS):
@@ -195,12 +201,14 @@ def decode_ids(df: DataFrame, id: str = "doc_id", ids: str = "ids", path: str |
     rows = df.select(F.col(id).alias("id"), F.coalesce(F.col(ids), F.array().cast("array<int>")).alias("ids"))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = merges_of(path).tokens.__getitem__
+        tokens = merges_of(path).tokens
+        token = [tokens.get(i, b"") for i in range(max(tokens) + 1)].__getitem__
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS):
                 part = batch.slice(start, ROWS)
                 lists = part.column(1)
-                flat, ends = lists.flatten().to_pylist(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+                flat = lists.flatten().to_numpy().tolist()
+                ends = (lists.offsets.to_numpy() - lists.offsets[0].as_py()).tolist()
                 texts = [b"".join(map(token, flat[a:b])) for a, b in zip(ends[:-1], ends[1:], strict=True)]
                 decoded = pa.array(texts, pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column(0), lists, decoded], names=["id", "ids", "bytes"])

@@ -10,7 +10,7 @@ from smudgelex.llm.license_rules import op3_license_rules, op3_sql
 from smudgelex.llm.quality_mcd import op1_quality_mcd
 from smudgelex.llm.string_kernel import op9_string_kernel
 from smudgelex.llm.suffix_dedup import op8_suffix_dedup
-from smudgelex.llm.url_markov import op2_url_markov
+from smudgelex.llm.url_markov import op2_sql, op2_url_markov
 from smudgelex.llm.weighted_minhash import op10_weighted_minhash
 
 QUERIES = {
@@ -28,4 +28,4 @@ QUERIES = {
         op10_weighted_minhash,
     )
 }
-ORACLE_SQL = {"op3_license_rules": op3_sql()}
+ORACLE_SQL = {"op2_url_markov": op2_sql(), "op3_license_rules": op3_sql()}

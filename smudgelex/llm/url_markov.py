@@ -235,4 +235,58 @@ def judge_urls(
 
 def op2_url_markov(spark, sf):
     judged = judge_urls(table(spark, sf, "pages"))
-    return judged.select("page_id", "host", "path", "rule", "verdict", F.round("score", 4).alias("score"))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op2_sql() -> str:
+    """The same in DuckDB SQL, a common table expression for each order of the model."""
+    rules = sorted(RULES, key=lambda r: -len(r.pattern))
+    cases = [
+        f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN "
+        for r in rules
+    ]
+    rule = " ".join(f"{c}'{r.pattern}'" for c, r in zip(cases, rules, strict=True))
+    listed = " ".join(f"{c}'{r.verdict}'" for c, r in zip(cases, rules, strict=True))
+    parts = [f"translate(regexp_extract(u, '{_PARTS}', 1), '{_UPPER}', '{_UPPER.lower()}')", f"regexp_extract(u, '{_PARTS}', 2)"]
+    orders = []
+    for k in range(ORDER + 1):
+        flat = 1.0 / len(SYMBOLS)
+        below = f"JOIN p{k - 1} b ON b.gram = right(s.gram, {k})" if k else ""
+        p = {side: f"b.p_{side}" if k else f"CAST({flat!r} AS DOUBLE)" for side in ("good", "bad")}
+        smooth = ", ".join(
+            f"CASE WHEN all_{x} = 0 THEN {p[x]} ELSE ({x} + kinds_{x} * {p[x]}) / (all_{x} + kinds_{x}) END AS p_{x}"
+            for x in ("good", "bad")
+        )
+        sums = ", ".join(
+            f"sum({x}) OVER w AS all_{x}, sum(CASE WHEN {x} > 0 THEN 1 ELSE 0 END) OVER w AS kinds_{x}" for x in ("good", "bad")
+        )
+        orders.append(f"""
+g{k} AS (SELECT right(gram, {k + 1}) AS gram, sum(good) AS good, sum(bad) AS bad FROM counts GROUP BY 1),
+s{k} AS (SELECT *, {sums} FROM g{k} WINDOW w AS (PARTITION BY left(gram, {k}))),
+p{k} AS (SELECT s.gram, {smooth} FROM s{k} s {below}),""")
+    return f"""
+WITH base AS (SELECT row_number() OVER () AS rid, page_id, url, coalesce(url, '') AS u FROM pages),
+parts AS (SELECT *, {parts[0]} AS host, {parts[1]} AS path,
+  regexp_replace(regexp_replace(translate(regexp_replace(u, '(?s)^.*?://', ''), '{_UPPER}', '{_UPPER.lower()}'),
+    '[0-9]', '0', 'g'), '[^a-z0./:\\-_?=&#%+,;@!]', '~', 'g') AS t,
+  coalesce(left(md5(url), 1) NOT IN ('0', '1', '2'), false) AS learned FROM base),
+ruled AS (SELECT *, CASE {rule} END AS rule, CASE {listed} END AS listed FROM parts),
+grams AS (SELECT rid, listed, learned, unnest(list_transform(range(1, length(t) + 1),
+  lambda i: substr('{START}' || t, i, {ORDER + 1}))) AS gram FROM ruled),
+counts AS (SELECT gram, count(*) FILTER (learned AND listed = 'allow') AS good,
+  count(*) FILTER (learned AND listed = 'block') AS bad FROM grams GROUP BY gram),{"".join(orders)}
+model AS (SELECT gram, CAST(round({UNIT} * (ln(p_good) - ln(p_bad))) AS BIGINT) AS llr FROM p{ORDER}),
+sums AS (SELECT rid, count(*) AS n, sum(llr) AS total FROM grams JOIN model USING (gram) GROUP BY rid),
+scored AS (SELECT r.*, floor(coalesce(s.total, 0) / (greatest(coalesce(s.n, 0), 1) * {float(STEP)})) AS step
+  FROM ruled r LEFT JOIN sums s USING (rid)),
+steps AS (SELECT step, count(*) FILTER (listed = 'allow') AS good, count(*) FILTER (listed = 'block') AS bad
+  FROM scored WHERE NOT learned AND listed IS NOT NULL GROUP BY step),
+tried AS (SELECT floor((coalesce(lag(step) OVER (ORDER BY step), step) + step + 1) / 2) AS mark,
+  (sum(good) OVER () - coalesce(sum(good) OVER b, 0)) * sum(bad) OVER ()
+    + coalesce(sum(bad) OVER b, 0) * sum(good) OVER () AS gain,
+  sum(good) OVER () AS all_good, sum(bad) OVER () AS all_bad
+  FROM steps WINDOW b AS (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+chosen AS (SELECT coalesce((SELECT mark FROM tried WHERE all_good > 0 AND all_bad > 0
+  ORDER BY gain DESC, abs(mark), mark LIMIT 1), 0) AS mark)
+SELECT page_id, host, path, rule, coalesce(listed, CASE WHEN step >= mark THEN 'allow' ELSE 'block' END) AS verdict
+FROM scored, chosen"""

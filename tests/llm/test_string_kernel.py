@@ -52,7 +52,7 @@ def test_held_out_and_tolerant():
     held = made(2, 200)
     scores = np.array(scorer.score([t for t, _ in held]))
     assert ((scores >= k.THRESHOLD) == [y == 1 for _, y in held]).mean() > 0.97
-    plain, spaced, filled = scorer.score(["the zorgot. a quemble. this fraxid", "the z o r g o t. a q u e m b l e. this f r a x i d", "the zor-got. a quem.ble. this fra_xid"])
+    plain, spaced, filled = scorer.score(["the zorgot. a quemble. this fraxid", "the z o r g o t. the q u e m b l e. this f r a x i d", "the zor-got. a quem.ble. this fra_xid"])
     clean = scorer.score(["the thing is on. re shan"])[0]
     assert plain >= k.THRESHOLD and spaced >= k.THRESHOLD and filled > clean
 
@@ -61,6 +61,8 @@ def test_odd_texts(docs, no_docs, texts):
     model = k.fit(made(3, 150))
     rows = k.score_toxicity(docs, model).collect()
     assert Counter(r.doc_id for r in rows) == Counter(i for i, *_ in texts)
-    assert all(0 <= r.score < k.THRESHOLD for r in rows)
+    assert all(0 <= r.score <= 1 for r in rows)
+    assert len({r.score for r in rows if r.doc_id in (300, 301)}) == 1
+    assert len({r.score for r in rows if r.doc_id in (400, 401, 402)}) == 1
     assert k.score_toxicity(no_docs, model).count() == 0
     assert k.fit([]).score([5.0]) == 0.0

@@ -1,5 +1,6 @@
 from collections import Counter
 
+import duckdb
 from smudgelex.llm import url_markov as u
 
 URLS = [
@@ -71,5 +72,12 @@ def test_smoothing_by_brute_force(spark):
         assert abs(llr - u.UNIT * (math.log(p(g)) - math.log(flat))) <= 1
 
 
+def test_sql(spark, small):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{small}/pages.parquet'")
+    rows = u.op2_url_markov(spark, small).collect()
+    assert sorted(map(tuple, rows), key=str) == sorted(con.execute(u.op2_sql()).fetchall(), key=str)
+
+
 def test_empty(spark):
     assert u.judge_urls(frame(spark, [])).count() == 0

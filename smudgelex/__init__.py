@@ -19,6 +19,7 @@ from smudgelex.operators.tag import (
     known_tokens,
     missing_tokens,
     of_kind,
+    read_reference_keys,
     reference_keys,
     tag_lexicon,
     tag_tokens,
@@ -84,6 +85,7 @@ __all__ = [
     "read_counts",
     "read_lexicon",
     "read_reference",
+    "read_reference_keys",
     "reconcile",
     "reconcile_readings",
     "reference_keys",

@@ -28,7 +28,7 @@ from __future__ import annotations
 
 from functools import lru_cache
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from smudgelex.functions import charset as c
@@ -193,9 +193,11 @@ def _rewritten_text(text: Column, markup: str, numeric: str, tags: bool) -> Colu
 
 
 @lru_cache(maxsize=128)
-def _rewritten_column(text: str, markup: str, numeric: str, tags: bool) -> Column:
+def _rewritten_column(
+    application: str, text: str, markup: str, numeric: str, tags: bool
+) -> Column:
     # Building the expression takes some hundred calls into the JVM, and it depends
-    # on nothing but a column name and options.
+    # on nothing but a column name and options; it lives as long as the application.
     return _rewritten_text(F.col(text), markup, numeric, tags)
 
 
@@ -203,8 +205,12 @@ def _rewritten_of(
     text: Column | str, markup: str, numeric: str, tags: bool = False
 ) -> Column:
     check_options(markup, numeric, tags)
-    build = _rewritten_column if isinstance(text, str) else _rewritten_text
-    return build(text, markup, numeric, tags)
+    session = SparkSession.getActiveSession()
+    if session is None or not isinstance(text, str):
+        text = F.col(text) if isinstance(text, str) else text
+        return _rewritten_text(text, markup, numeric, tags)
+    application = session.sparkContext.applicationId
+    return _rewritten_column(application, text, markup, numeric, tags)
 
 
 def phrase_pieces(

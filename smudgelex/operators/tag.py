@@ -7,7 +7,7 @@ rank, and one equi-join answers all three questions.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smudgelex.plans.storage import BROADCAST_BYTES, fits_broadcast, materialized
@@ -31,13 +31,15 @@ def reference_keys(
     dict: DataFrame,
     geo: DataFrame,
     collation: str = "ignore_case",
+    path: str | None = None,
 ) -> DataFrame:
     """``(key, kind)``, one row per key, from the first column of each table.
 
     The tables may repeat words.
 
     The result is written to the shared folder, so that every later join reads a
-    finished table whose size can be measured.
+    finished table whose size can be measured; or to ``path``, where the caller may
+    keep it and read it again with ``read_reference_keys``.
     """
     merged = None
     for rank, table in enumerate((names, dict, geo)):
@@ -50,7 +52,16 @@ def reference_keys(
         .agg(F.min("rank").alias("rank"))
     )
     kinds = F.array(*[F.lit(k) for k in KINDS])
-    return materialized(keys.select("key", F.get(kinds, F.col("rank")).alias("kind")))
+    keys = keys.select("key", F.get(kinds, F.col("rank")).alias("kind"))
+    if path is None:
+        return materialized(keys)
+    keys.write.mode("overwrite").parquet(path)
+    return read_reference_keys(keys.sparkSession, path)
+
+
+def read_reference_keys(spark: SparkSession, path: str) -> DataFrame:
+    """Keys written by ``reference_keys``, built once and used by many jobs."""
+    return spark.read.schema("key string, kind string").parquet(path)
 
 
 def _with_key(df: DataFrame, collation: str) -> DataFrame:

@@ -13,7 +13,7 @@ with one anchor form a run, one row for several hundred bytes of text:
 
 Runs are counted by hash before the shuffle, so copies of a text and passages that many
 texts share are counts, not groups. Only the distinct runs of an anchor meet in a task;
-where one anchor has more than ``MANY`` of them, their strings are counted by digest
+where one anchor has more than ``MANY`` of them (some 6 MB), their strings are counted by digest
 instead, spread over all tasks. Digests have 128 bits.
 
 Texts are UTF-8 bytes and strings never cross texts. Null texts count as empty; texts
@@ -37,7 +37,7 @@ LENGTH = 400
 GRAM = 64
 WINDOW = LENGTH - GRAM + 1
 SHALLOW = 32
-MANY = 400
+MANY = 10_000
 # Starts that are looked at together; their places take PLACE_BITS of a word.
 SEGMENT = 1 << 21
 PLACE_BITS = np.uint64(23)

@@ -14,9 +14,10 @@ task.
 
 Equal word sequences count as one text. A band's bucket is never expanded into pairs:
 its members are compared with the bucket's first, then, as far as they are still in
-different classes, with its last, and in the end only members of different classes that
-share a bucket are compared with each other, so no link between different texts is
-lost. Classes are the connected components of the verified links.
+different classes, with its last. In the end members of different classes are compared
+with each other if they share two bands: texts at a similarity of 0.8 share ten of 24
+on average and fewer than two once in 18,000 times, while texts that have one passage
+in common rarely share two. Classes are the connected components of the verified links.
 
 Words are split at white space, ASCII capitals count as small letters. A text of fewer
 than five words has one run, all of it. Null and empty texts have none and are classes
@@ -33,7 +34,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smudgelex.llm.common import joined, materialized, table
@@ -214,6 +215,16 @@ def _signed(rows: DataFrame, weights) -> DataFrame:
     return rows.mapInArrow(sign, "id bigint, key binary, bands array<bigint>, note string")
 
 
+def _two_bands() -> Column:
+    """A key for every two bands of a text."""
+
+    def with_later(band: Column, i: Column) -> Column:
+        later = F.slice("bands", i + 2, F.size("bands"))
+        return F.transform(later, lambda other, j: F.xxhash64(i, j, band, other))
+
+    return F.flatten(F.transform("bands", with_later))
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, weights, least: float) -> DataFrame:
     """The pairs ``(a, b)`` whose texts reach the similarity, as a finished table."""
     pairs = materialized(pairs)
@@ -270,7 +281,8 @@ def near_duplicate_classes(
     weights = rows.sparkSession.sparkContext.broadcast(Weights(runs, counts, drop, n))
     signed = materialized(_signed(rows, weights))
     one = signed.where(F.size("bands") > 0).groupBy("key").agg(F.min(F.struct("id", "bands")).alias("one"))
-    spread = one.select(F.col("one.id").alias("id"), F.posexplode("one.bands").alias("band", "h"))
+    reps = materialized(one.select("key", "one.*"))
+    spread = reps.select("id", F.posexplode("bands").alias("band", "h"))
     buckets = spread.groupBy("band", "h").agg(
         F.count(F.lit(1)).alias("n"), F.min("id").alias("low"), F.max("id").alias("high")
     )
@@ -288,13 +300,18 @@ def near_duplicate_classes(
     last = held.where("id != high").select(F.least("id", "high").alias("a"), F.greatest("id", "high").alias("b"))
     for more in (rest, last.distinct(), None):
         if more is None:
-            # Members of different classes that share a bucket, each pair once.
+            # Members of different classes, some bucket of theirs being mixed.
             mine = _classed(held.select("band", "h", "id"), "id", labels)
             mixed = mine.groupBy("band", "h").agg(F.min("id_class").alias("x"), F.max("id_class").alias("y"))
-            mine = materialized(mine.join(mixed.where("x != y").select("band", "h"), ["band", "h"]))
-            other = mine.withColumnsRenamed({"id": "b", "id_class": "b_class"})
-            more = mine.withColumnsRenamed({"id": "a", "id_class": "a_class"}).join(other, ["band", "h"])
-            more = more.where("a < b and a_class != b_class").select("a", "b").distinct()
+            mine = mine.join(mixed.where("x != y").select("band", "h"), ["band", "h"])
+            mine = materialized(mine.groupBy("id").agg(F.first("id_class").alias("id_class")))
+            twos = reps.join(mine, "id").select("id", "id_class", F.explode(_two_bands()).alias("two"))
+            twos = materialized(twos)
+            mixed = twos.groupBy("two").agg(F.min("id_class").alias("x"), F.max("id_class").alias("y"))
+            twos = materialized(twos.join(mixed.where("x != y").select("two"), "two"))
+            left = twos.withColumnsRenamed({"id": "a", "id_class": "a_class"})
+            right = twos.withColumnsRenamed({"id": "b", "id_class": "b_class"})
+            more = left.join(right, "two").where("a < b and a_class != b_class").select("a", "b").distinct()
             more = more.join(done, ["a", "b"], "left_anti")
         else:
             more = _classed(_classed(more, "a", labels), "b", labels).where("a_class != b_class").select("a", "b")
@@ -308,7 +325,7 @@ def near_duplicate_classes(
         labels = connected(found, labels)
     ends = links.select(F.col("a").alias("id")).union(links.select("b"))
     degree = ends.groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
-    texts = one.select("key", F.col("one.id").alias("first"))
+    texts = reps.select("key", F.col("id").alias("first"))
     texts = texts.join(labels.withColumnRenamed("node", "first"), "first", "left")
     texts = texts.join(degree.withColumnRenamed("id", "first"), "first", "left")
     texts = texts.select("key", F.coalesce("label", "first").alias("class_id"), F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"))

@@ -51,8 +51,8 @@ ROWS = 2048
 
 _WORD = re.compile(r"[^\W_](?:\S*[^\W_])?")
 _SENTENCE = re.compile(r"[.!?]\s+|\n")
-# Letters set apart one by one are one word.
-_SPACED = re.compile(r"(?<!\S)[^\W\d_](?:[ .\-_*]{1,2}[^\W\d_]){3,}(?!\S)")
+# Letters set apart one by one are one word; it does not cross the end of a sentence.
+_SPACED = re.compile(r"(?<!\S)[^\W\d_](?:(?:[ \-_*]{1,2}|\.)[^\W\d_]){3,}(?!\w)")
 _APART = re.compile(r"[ .\-_*]")
 
 

@@ -3,7 +3,13 @@
 A text is cut into sentences, each is normalised and looked up among known licence
 sentences, and the sequence of their identifiers is matched against ordered licence
 rules. A rule is a run of identifiers; once matched, a run is used up, so that longer
-rules go before the shorter ones they contain. A sentence that is not known ends a run.
+rules go before the shorter ones they contain. A sentence that is not known ends a run,
+unless the rule names it ``?``.
+
+A known sentence may be wrapped: lines are joined up to a mark at a line end or a line
+without letters and digits. Where the joined lines are not known, each line is looked up
+by itself. Numbers of list items do not end a run. ``n_sentences`` counts line ends as
+ends of sentences, wrapped or not. The SQL knows neither wrapped lines nor item numbers.
 
 All of it happens inside the row with native expressions: no shuffle, no Python, and
 the work is linear in the text. The tables of sentences and rules are parameters.
@@ -14,11 +20,32 @@ results. Other columns are not read.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from smudgelex.llm.common import let, table
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+# A sentence ends at a line end, or at its mark before a blank.
+_END = r"([.!?;:])[ \t\r\f\x0B]+"
+_OTHER = r"[^a-z0-9.\-]+"
+_EDGES = r"^[ .\-]+|[ .\-]+$"
+# With every mark at a line end: the ends that a wrapped sentence cannot go over.
+_PART = r"(?<=[.!?;:])\n|\n[^A-Za-z0-9\n]*\n"
+# What joining leaves out: an item's number in brackets, and how a line begins.
+_JOINT = r"^[^A-Za-z0-9]*[0-9]{1,2}\)|\n[^A-Za-z0-9]*"
+_ITEM = r"^[^A-Za-z0-9]*[0-9]{1,2}[^A-Za-z0-9]*$"
+UNKNOWN = "<?>"
+
+
+def _normal(sentence: str) -> str:
+    """``normalised`` of a string."""
+    lower = sentence.translate(str.maketrans(_UPPER, _UPPER.lower()))
+    return re.sub(_EDGES, "", re.sub(_OTHER, " ", lower))
+
+
 # Licence sentences in normal form and the identifiers of this module.
 SENTENCES = {
     "licensed under the apache license version 2.0": "apache2-ref",
@@ -50,13 +77,163 @@ SENTENCES = {
     "this software is provided by the copyright holders and contributors as is": "bsd-asis",
 }
 
+# The sentences of the licences' own texts and headers.
+_MIT = {
+    "mit-grant": (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+        'documentation files (the "Software"), to deal in the Software without restriction, including without '
+        "limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of "
+        "the Software, and to permit persons to whom the Software is furnished to do so, subject to the following "
+        "conditions",
+    ),
+    "mit-notice": (
+        "The above copyright notice and this permission notice (including the next paragraph) shall be included in "
+        "all copies or substantial portions of the Software",
+    ),
+    "asis-software": (
+        "The software is provided as is, without warranty of any kind, express or implied, including but not limited "
+        "to the warranties of merchantability, fitness for a particular purpose and noninfringement",
+    ),
+    "mit-liable": (
+        "In no event shall the authors or copyright holders be liable for any claim, damages or other liability, "
+        "whether in an action of contract, tort or otherwise, arising from, out of or in connection with the "
+        "software or the use or other dealings in the software",
+    ),
+}
+_ENDORSE = (
+    "may be used to endorse or promote products derived from this software without specific prior written permission"
+)
+_BSD = {
+    "bsd-intro": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+        "that the following conditions are met",
+    ),
+    "bsd-source": (
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+        "following disclaimer",
+    ),
+    "bsd-binary": (
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the "
+        "following disclaimer in the documentation and/or other materials provided with the distribution",
+    ),
+    "bsd-endorse": tuple(
+        f"Neither the name of {whose} nor the names of its contributors {_ENDORSE}"
+        for whose in ("the copyright holder", "the copyright holders", "the copyright owner", "the University")
+    ),
+    # What follows a name that ends in a full stop.
+    "bsd-nor": (f"nor the names of its contributors {_ENDORSE}", f"nor the names of their contributors {_ENDORSE}"),
+    "bsd-asis": tuple(
+        f"This software is provided by the {who} as is and any express or implied warranties, including, but not "
+        "limited to, the implied warranties of merchantability and fitness for a particular purpose are disclaimed"
+        for who in (
+            "copyright holders and contributors", "copyright holder and contributors", "regents and contributors",
+            "author and contributors", "authors and contributors", "author", "authors",
+        )
+    ),
+    "bsd-liable": tuple(
+        f"In no event shall the {who} be liable for any direct, indirect, incidental, special, exemplary, or "
+        "consequential damages (including, but not limited to, procurement of substitute goods or services"
+        for who in (
+            "copyright holder or contributors", "copyright holders or contributors", "copyright owner or contributors",
+            "regents or contributors", "author or contributors", "authors or contributors", "author", "authors",
+        )
+    ),
+    "bsd-loss": ("loss of use, data, or profits",),
+    "bsd-however": (
+        "or business interruption) however caused and on any theory of liability, whether in contract, strict "
+        "liability, or tort (including negligence or otherwise) arising in any way out of the use of this software, "
+        "even if advised of the possibility of such damage",
+    ),
+}
+_APACHE_AT = tuple(
+    f"You may obtain a copy of the License at {scheme}://www.apache.org/licenses/LICENSE-2.0{end}"
+    for scheme in ("http", "https")
+    for end in ("", ".html", ".txt")
+)
+_APACHE_UNLESS = (
+    "Unless required by applicable law or agreed to in writing, software distributed under the License is "
+    "distributed on an as is basis, without warranties or conditions of any kind, either express or implied"
+)
+_APACHE = {
+    # Its lines may be joined without regard to blank ones.
+    "apache2-copy": (*_APACHE_AT, *(f"{at} {_APACHE_UNLESS}" for at in _APACHE_AT)),
+    "apache2-unless": (_APACHE_UNLESS,),
+    "apache2-see": (
+        "See the License for the specific language governing permissions and limitations under the License",
+    ),
+}
+_MPL = {
+    # Cut after its "v."; earlier versions do not speak of a Source Code Form.
+    "mpl2-terms": ("This Source Code Form is subject to the terms of the Mozilla Public License, v",),
+    "mpl2-copy": tuple(
+        f"If a copy of the MPL was not distributed with this file, You can obtain one at {at}mozilla.org/MPL/2.0/"
+        for at in ("http://", "https://", "http://www.", "https://www.")
+    ),
+}
+# Name and the versions of the licences of the Free Software Foundation.
+_GNU = (
+    ("gpl", "GPL", "General", ("2", "3")),
+    ("lgpl", "LGPL", "Lesser General", ("2.1", "3")),
+    ("lgpl2", "LGPL", "Library General", ("2",)),
+    ("agpl", "AGPL", "Affero General", ("3",)),
+)
+
+
+def _gnu() -> tuple[dict[str, tuple[str, ...]], list[tuple[str, tuple[str, ...]]]]:
+    """Sentences and rules; a version is in the sentence of the terms or follows it."""
+    sentences, rules = {}, []
+    fsf = "as published by the Free Software Foundation"
+    for short, family, name, versions in _GNU:
+        licence = f"GNU {name} Public License"
+        begin = f"you can redistribute it and/or modify it under the terms of the {licence}"
+        agreed = begin.replace("the terms", "the terms and conditions")
+        sentences[f"{short}-terms"] = (begin, f"{begin} {fsf}")
+        sentences[f"{short}-details"] = (f"See the {licence} for more details",)
+        for v in versions:
+            spdx = f"{family}-{v if '.' in v else v + '.0'}"
+            later = f"version {v} of the License, or (at your option) any later version"
+            # Where a version is a sentence of its own, it does not name the licence.
+            sentences[f"gpl{v}-later"] = (f"either {later}", later)
+            sentences[f"gpl{v}-only"] = (f"version {v} of the License",)
+            sentences[f"{short}-terms-{v}-later"] = (
+                f"{begin} {fsf}, either {later}", f"{begin}, either {later}",
+            )
+            sentences[f"{short}-terms-{v}-only"] = (
+                f"{begin} version {v}", f"{begin} version {v} {fsf}", f"{begin} {fsf}, version {v}",
+                f"{begin} {fsf}, version {v} of the License", f"{agreed}, version {v}, {fsf}",
+            )
+            for kind, name_of in (("later", f"{spdx}-or-later"), ("only", f"{spdx}-only")):
+                rules.append((name_of, (f"{short}-terms-{v}-{kind}",)))
+                rules.append((name_of, (f"{short}-terms", f"gpl{v}-{kind}")))
+    return sentences, rules
+
+
+_GNU_TEXTS, _GNU_RULES = _gnu()
+for _texts in (_MIT, _BSD, _APACHE, _MPL, _GNU_TEXTS):
+    SENTENCES |= {_normal(text): name for name, listed in _texts.items() for text in listed}
+
+# The clause on endorsement names the owner, so any one sentence may stand for it.
+_BSD_RUNS = [
+    (licence, ("bsd-intro", "bsd-source", "bsd-binary", *endorse, "bsd-asis"))
+    for licence, endorse in (
+        ("BSD-3-Clause", ("bsd-endorse",)), ("BSD-3-Clause", ("?", "bsd-nor")), ("BSD-3-Clause", ("?",)),
+        ("BSD-2-Clause", ()),
+    )
+]
+_WHOLE = [*_BSD_RUNS, ("MIT", ("mit-grant", "mit-notice", "asis-software"))]
+
 # Licence and the identifiers that must follow each other, in the order of trial.
 RULES = (
+    # A copyright line above an open licence reserves nothing.
+    *((licence, ("all-rights", *run)) for licence, run in _WHOLE),
+    *_BSD_RUNS,
     ("Apache-2.0", ("apache2-grant", "apache2-use", "apache2-copy")),
     ("MIT", ("mit-grant", "mit-notice", "asis-software")),
     ("GPL-2.0-or-later", ("gpl-free", "gpl-terms", "gpl2-later")),
     ("GPL-3.0-or-later", ("gpl-free", "gpl-terms", "gpl3-later")),
-    ("BSD-2-Clause", ("bsd-source", "bsd-binary", "bsd-asis")),
+    *_GNU_RULES,
+    ("MPL-2.0", ("mpl2-terms",)),
+    *((licence, run[1:]) for licence, run in _BSD_RUNS),
     ("Apache-2.0", ("apache2-grant",)),
     ("Apache-2.0", ("apache2-ref",)),
     ("MIT", ("mit-grant",)),
@@ -71,17 +248,13 @@ RULES = (
     ("Proprietary", ("all-rights",)),
 )
 
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-# A sentence ends at a line end, or at its mark before a blank.
-_END = r"([.!?;:])[ \t\r\f\x0B]+"
-_OTHER = r"[^a-z0-9.\-]+"
-_EDGES = r"^[ .\-]+|[ .\-]+$"
-UNKNOWN = "<?>"
-
 
 def sentences(text: Column) -> Column:
-    marked = F.regexp_replace(F.coalesce(text, F.lit("")), _END, "$1\n")
-    return F.split(marked, "\n")
+    return F.split(_marks_at_ends(text), "\n")
+
+
+def _marks_at_ends(text: Column) -> Column:
+    return F.regexp_replace(F.coalesce(text, F.lit("")), _END, "$1\n")
 
 
 def normalised(sentence: Column) -> Column:
@@ -127,7 +300,7 @@ def scan_licenses(
     ``sequence`` holds the identifiers in the order of the text, as an array;
     ``licenses`` the distinct licences in the order in which the rules found them.
     """
-    words = F.filter(sentences(F.col(text)), lambda s: F.rlike(s, F.lit("[A-Za-z0-9]")))
+    filled = lambda parts: F.filter(parts, lambda s: F.rlike(s, F.lit("[A-Za-z0-9]")))
     # Only a sentence as long as some known one needs its normal form: normalising
     # never makes a text longer and never drops a letter or digit.
     shortest = min((len(k) for k in known), default=0)
@@ -136,16 +309,35 @@ def scan_licenses(
         ids = F.element_at(_identifiers(known), normalised(s)) if known else F.lit(None).cast("string")
         return F.when(F.length(s) >= shortest, ids)
 
-    found = F.transform(words, identified)
-    rows = df.select(F.col(id).alias(id), found.alias("_ids"))
-    marks = F.transform("_ids", lambda x: F.coalesce(F.concat(F.lit("<"), x, F.lit(">")), F.lit(UNKNOWN)))
-    any_known = F.exists("_ids", lambda x: x.isNotNull())
+    def by_line(part: Column) -> Column:
+        # The number of an item is no sentence: it has no identifier and ends no run.
+        item = lambda s: (F.length(s) < 9) & F.rlike(s, F.lit(_ITEM))
+        ids = F.transform(filled(F.split(part, "\n")), lambda s: F.when(item(s), "").otherwise(identified(s)))
+        # Lines of which none is known are one unknown sentence.
+        unknown = F.array(F.lit(None).cast("string"))
+        return let(ids, lambda x: F.when(F.exists(x, lambda i: i.isNotNull()), x).otherwise(unknown))
+
+    def of_part(part: Column) -> Column:
+        whole = identified(F.regexp_replace(part, _JOINT, " "))
+        return let(whole, lambda x: F.when(x.isNotNull(), F.array(x)).otherwise(by_line(part)))
+
+    marked = df.select(F.col(id).alias(id), _marks_at_ends(F.col(text)).alias("_marked"))
+    rows = marked.select(
+        id,
+        F.size(filled(F.split("_marked", "\n"))).cast("bigint").alias("n_sentences"),
+        F.flatten(F.transform(filled(F.split("_marked", _PART)), of_part)).alias("_ids"),
+    )
+    named = F.filter("_ids", lambda x: x != "")
+    marks = F.transform(
+        "_ids", lambda x: F.when(x == "", "").otherwise(F.coalesce(F.concat(F.lit("<"), x, F.lit(">")), F.lit(UNKNOWN)))
+    )
+    any_known = F.size(named) > 0
     none = F.array().cast("array<string>")
     licenses = F.when(any_known, matched(F.array_join(marks, ""), rules)["found"]).otherwise(none)
     return rows.select(
         id,
-        F.size("_ids").cast("bigint").alias("n_sentences"),
-        F.filter("_ids", lambda x: x.isNotNull()).alias("sequence"),
+        "n_sentences",
+        named.alias("sequence"),
         F.array_distinct(licenses).alias("licenses"),
     )
 

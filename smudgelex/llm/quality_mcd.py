@@ -28,8 +28,8 @@ MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 MIN_GROUP = 100
 STEPS = 5
-# Share of a group in the covering half.
-COVER = 0.75
+# Share of a group in the covering half: what is alike in less than half is not fitted.
+COVER = 0.5
 # Statistics are kept in multiples of 1 / SCALE.
 SCALE = 4096
 # Buckets of squared distance per doubling.

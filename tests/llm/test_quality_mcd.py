@@ -68,5 +68,16 @@ def test_concentration_step_by_brute_force(spark):
     assert np.allclose([got[f"c{i}{j}"] for i, j in q.PAIRS], [want[i, j] for i, j in q.PAIRS])
 
 
+def test_two_fifths_of_alike_junk_go(spark):
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choices("abcdefgh", k=rng.randint(2, 9)))
+    rows = [(i, " ".join(word() for _ in range(rng.randint(60, 400))), "en", "s0") for i in range(180)]
+    rows += [(1000 + i, " ".join(word() + "###" for _ in range(100)), "en", "s0") for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    kept = {r.doc_id: r.kept for r in q.mark_outliers(df).collect()}
+    assert all(kept[i] for i in range(180))
+    assert not any(v for i, v in kept.items() if i >= 1000)
+
+
 def test_empty(no_docs):
     assert q.mark_outliers(no_docs).count() == 0

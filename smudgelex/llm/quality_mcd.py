@@ -34,12 +34,13 @@ COVER = 0.5
 SCALE = 4096
 # Buckets of squared distance per doubling.
 PER_OCTAVE = 16
-# Statistic and the spread below which a difference is never held against a text.
+# Statistic and the spread below which a difference is never held against a text. A share
+# differs by at most log1p(100): it needs less than 0.64 to reject a text by itself.
 STATISTICS = (
     ("word_length", 0.10),
     ("symbols", 0.40),
-    ("repeated_lines", 1.00),
-    ("repeated_words", 1.00),
+    ("repeated_lines", 0.40),
+    ("repeated_words", 0.40),
     ("capitals", 0.40),
 )
 # A document goes beyond this squared distance: the 1 - 1e-9 quantile of chi-squared

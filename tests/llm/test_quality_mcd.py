@@ -79,5 +79,20 @@ def test_two_fifths_of_alike_junk_go(spark):
     assert not any(v for i, v in kept.items() if i >= 1000)
 
 
+def test_repetition_alone_goes(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdefgh", k=rng.randint(2, 9)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    rows = [(i, text(rng.randint(60, 400)), "en", "s0") for i in range(200)]
+    # Nine lines of ten repeat, but hardly a word does; and near half of the words do.
+    rows += [(1000 + i, text(200) + f"\n{word()}" * 20, "en", "s0") for i in range(5)]
+    rows += [(2000 + i, text(110) + " " + " ".join([text(15)] * 6), "en", "s0") for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    out = {r.doc_id: r for r in q.mark_outliers(df).collect()}
+    assert not any(r.base_failed for r in out.values())
+    assert all(out[i].kept for i in range(200))
+    assert not any(r.kept for i, r in out.items() if i >= 1000)
+
+
 def test_empty(no_docs):
     assert q.mark_outliers(no_docs).count() == 0

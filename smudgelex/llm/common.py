@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from smudgelex.plans.storage import materialized
 
-__all__ = ["joined", "labelled_sample", "let", "materialized", "ship", "table"]
+__all__ = ["joined", "labelled_sample", "let", "materialized", "ship", "slices", "table"]
 
 # A side is broadcast only while its measured size stays below this.
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -34,6 +36,20 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def slices(batch: pa.RecordBatch, column: int, rows: int = 2048, size: int = 4 * 1024 * 1024) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of at most ``rows`` rows and ``size`` bytes of ``column``, or one
+    row that is longer."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    start = held = 0
+    for at, length in enumerate(lengths.tolist()):
+        if at > start and (at - start >= rows or held + length > size):
+            yield batch.slice(start, at - start)
+            start, held = at, 0
+        held += length
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once, however often it is used."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

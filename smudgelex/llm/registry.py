@@ -7,6 +7,7 @@ from smudgelex.llm.best_fit_packing import op6_best_fit_packing
 from smudgelex.llm.byte_bpe import op7_byte_bpe
 from smudgelex.llm.hnsw import op4_hnsw
 from smudgelex.llm.license_rules import op3_license_rules, op3_sql
+from smudgelex.llm.mask_search import op12_mask_search, op12_sql
 from smudgelex.llm.quality_mcd import op1_quality_mcd
 from smudgelex.llm.string_kernel import op9_string_kernel
 from smudgelex.llm.suffix_dedup import op8_suffix_dedup
@@ -26,6 +27,7 @@ QUERIES = {
         op8_suffix_dedup,
         op9_string_kernel,
         op10_weighted_minhash,
+        op12_mask_search,
     )
 }
-ORACLE_SQL = {"op2_url_markov": op2_sql(), "op3_license_rules": op3_sql()}
+ORACLE_SQL = {"op2_url_markov": op2_sql(), "op3_license_rules": op3_sql(), "op12_mask_search": op12_sql()}

@@ -9,6 +9,7 @@ from smudgelex.llm.hnsw import op4_hnsw
 from smudgelex.llm.license_rules import op3_license_rules, op3_sql
 from smudgelex.llm.mask_search import op12_mask_search, op12_sql
 from smudgelex.llm.quality_mcd import op1_quality_mcd
+from smudgelex.llm.spelling_variants import op11_spelling_variants, op11_sql
 from smudgelex.llm.string_kernel import op9_string_kernel
 from smudgelex.llm.suffix_dedup import op8_suffix_dedup
 from smudgelex.llm.url_markov import op2_sql, op2_url_markov
@@ -27,7 +28,13 @@ QUERIES = {
         op8_suffix_dedup,
         op9_string_kernel,
         op10_weighted_minhash,
+        op11_spelling_variants,
         op12_mask_search,
     )
 }
-ORACLE_SQL = {"op2_url_markov": op2_sql(), "op3_license_rules": op3_sql(), "op12_mask_search": op12_sql()}
+ORACLE_SQL = {
+    "op2_url_markov": op2_sql(),
+    "op3_license_rules": op3_sql(),
+    "op11_spelling_variants": op11_sql(),
+    "op12_mask_search": op12_sql(),
+}

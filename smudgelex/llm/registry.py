@@ -6,6 +6,7 @@ from smudgelex.llm.attention_mil import op5_attention_mil
 from smudgelex.llm.best_fit_packing import op6_best_fit_packing
 from smudgelex.llm.byte_bpe import op7_byte_bpe
 from smudgelex.llm.hnsw import op4_hnsw
+from smudgelex.llm.language_codes import op13_language_codes
 from smudgelex.llm.license_rules import op3_license_rules, op3_sql
 from smudgelex.llm.mask_search import op12_mask_search, op12_sql
 from smudgelex.llm.quality_mcd import op1_quality_mcd
@@ -30,6 +31,7 @@ QUERIES = {
         op10_weighted_minhash,
         op11_spelling_variants,
         op12_mask_search,
+        op13_language_codes,
     )
 }
 ORACLE_SQL = {

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracle
 from smudgelex.functions import render
-from smudgelex.operators import compare, lexicon, tag, tokenize
+from smudgelex.operators import align, compare, lexicon, tag, tokenize
 from smudgelex.plans import jobs
 from smudgelex.plans.storage import fresh_path
 from smudgelex.sources import corpus, sinks, tables
@@ -174,6 +174,13 @@ def reconcile_tokens(spark, sf):
     return compare.reconcile_readings(pages, trec, html, "page_id", "html")
 
 
+def align_tokens(spark, sf):
+    """The least differences between two readings of the pages."""
+    pages = _table(spark, sf, "pages")
+    trec, html = {"markup": "trec"}, {"markup": "html"}
+    return align.align_readings(pages, trec, html, "page_id", "html")
+
+
 def _stored(tokens: DataFrame) -> DataFrame:
     path = fresh_path(tokens.sparkSession, "token-table")
     sinks.write_token_table(tokens, path)
@@ -200,6 +207,10 @@ def tag_exact_case(spark, sf):
     return _tagged(spark, sf, "exact")
 
 
+def tag_ignore_accents(spark, sf):
+    return _tagged(spark, sf, "ignore_accents")
+
+
 def missing_tokens(spark, sf):
     return tag.missing_tokens(_lexicon(spark, sf), _reference_keys(spark, sf))
 
@@ -230,10 +241,10 @@ def tag_tokens_shuffled(spark, sf):
     return tag.tag_tokens(_doc_tokens(spark, sf), keys, broadcast_bytes=0)
 
 
-def _trec_files(spark: SparkSession, sf: str) -> str:
+def _trec_files(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
+    """A folder of files, and the documents that the format cannot hold."""
     path = fresh_path(spark, "trec")
-    sinks.write_trec(_documents(spark, sf), path)
-    return path
+    return path, sinks.write_trec(_documents(spark, sf), path)
 
 
 def _numbered(documents: DataFrame) -> DataFrame:
@@ -241,14 +252,24 @@ def _numbered(documents: DataFrame) -> DataFrame:
     return documents.withColumn("doc_id", F.col("orig_id").cast("bigint"))
 
 
+def _read_tokens(documents: DataFrame) -> DataFrame:
+    return tokenize.tokenize(_numbered(corpus.well_formed(documents)), markup="trec")
+
+
 def trec_round_trip(spark, sf):
-    read = corpus.read_corpus(spark, _trec_files(spark, sf))
-    return tokenize.tokenize(_numbered(corpus.well_formed(read)), markup="trec")
+    path, rest = _trec_files(spark, sf)
+    return _read_tokens(corpus.read_corpus(spark, path)).union(tokenize.tokenize(rest, markup="trec"))
 
 
-def _token_stream(spark: SparkSession, sf: str) -> DataFrame:
-    arriving = corpus.stream_corpus(spark, _trec_files(spark, sf), max_files=2)
-    return tokenize.tokenize(_numbered(corpus.well_formed(arriving)), markup="trec")
+def read_documents(spark, sf):
+    """The same by the data source, in ranges that cut most documents."""
+    path, rest = _trec_files(spark, sf)
+    read = corpus.read_documents(spark, path, split=1 << 20)
+    return _read_tokens(read).union(tokenize.tokenize(rest, markup="trec"))
+
+
+def _token_stream(spark: SparkSession, path: str) -> DataFrame:
+    return _read_tokens(corpus.stream_corpus(spark, path, max_files=2))
 
 
 def _run_stream(spark: SparkSession, rows: DataFrame) -> DataFrame:
@@ -258,26 +279,44 @@ def _run_stream(spark: SparkSession, rows: DataFrame) -> DataFrame:
 
 
 def stream_tokenize(spark, sf):
-    return _run_stream(spark, _token_stream(spark, sf))
+    path, rest = _trec_files(spark, sf)
+    streamed = _run_stream(spark, _token_stream(spark, path))
+    return streamed.union(tokenize.tokenize(rest, markup="trec"))
+
+
+def stream_documents(spark, sf):
+    """The same by the data source, which keeps documents whole."""
+    path, rest = _trec_files(spark, sf)
+    arriving = corpus.stream_documents(spark, path, fresh_path(spark, "stream-log"), split=1 << 20)
+    streamed = _run_stream(spark, _read_tokens(arriving))
+    return streamed.union(tokenize.tokenize(rest, markup="trec"))
 
 
 def stream_tag_tokens(spark, sf):
+    path, rest = _trec_files(spark, sf)
     keys = _reference_keys(spark, sf)
-    tagged = tag.tag_tokens(_token_stream(spark, sf), keys)
-    return _run_stream(spark, tagged.select("doc_id", "position", "token", "kind"))
+    columns = ["doc_id", "position", "token", "kind"]
+    tagged = tag.tag_tokens(_token_stream(spark, path), keys).select(*columns)
+    others = tag.tag_tokens(tokenize.tokenize(rest, markup="trec"), keys)
+    return _run_stream(spark, tagged).union(others.select(*columns))
 
 
 def stream_lexicon(spark, sf):
+    files, rest = _trec_files(spark, sf)
     path, state = fresh_path(spark, "counts"), fresh_path(spark, "counts-state")
-    streams.write_counts(_token_stream(spark, sf), path, state).awaitTermination()
-    return streams.read_counts(spark, path)
+    streams.write_counts(_token_stream(spark, files), path, state).awaitTermination()
+    others = lexicon.lexicon_of(rest, markup="trec")
+    counts = streams.read_counts(spark, path).union(others)
+    return counts.groupBy("token").agg(F.sum("n").alias("n"))
 
 
 def token_file(spark, sf):
     """Directory of files to token file, read back as a lexicon."""
+    files, rest = _trec_files(spark, sf)
     path = fresh_path(spark, "tokens")
-    jobs.print_tokens(spark, _trec_files(spark, sf), path, with_final=True)
-    return lexicon.build_lexicon(tables.read_lexicon(spark, path))
+    jobs.print_tokens(spark, files, path, with_final=True)
+    others = tokenize.tokenize(rest, markup="trec", with_final=True)
+    return lexicon.build_lexicon(tables.read_lexicon(spark, path).union(others.select("token")))
 
 
 def missing_file(spark, sf):
@@ -311,15 +350,20 @@ def malformed_documents(spark, sf):
     )
 
 
+def _value_of(folder: str) -> Column:
+    """The value of the column that the folders of files are named for."""
+    value = F.url_decode(F.regexp_extract("source", f"/{folder}=([^/]*)/[^/]*$", 1))
+    return F.when(value != "__HIVE_DEFAULT_PARTITION__", value).alias(folder)
+
+
 def corpus_ids(spark, sf):
     """Files by language in which every number is given many times."""
     path = fresh_path(spark, "ids")
-    docs = _documents(spark, sf).select(F.col("lang").alias("folder"), (F.col("doc_id") % 7).alias("doc_id"), "text")
-    for lang in ("de", "en", "es", "fr"):
-        sinks.write_trec(docs.where(F.col("folder") == lang), f"{path}/{lang}")
+    number = F.pmod("doc_id", F.lit(7)).alias("doc_id")
+    docs = _documents(spark, sf).select("lang", number, "text")
+    sinks.write_trec(docs, path, by="lang", escape=True)
     read = corpus.well_formed(corpus.read_corpus(spark, path))
-    folder = F.regexp_extract("source", "/([a-z]+)/[^/]*$", 1).alias("lang")
-    return read.groupBy(folder).agg(
+    return read.groupBy(_value_of("lang")).agg(
         F.count("*").alias("n"),
         F.count_distinct("doc_id").alias("n_ids"),
         F.count_distinct("orig_id").alias("n_numbers"),
@@ -327,44 +371,44 @@ def corpus_ids(spark, sf):
 
 
 def _by_source(spark: SparkSession, sf: str) -> str:
-    """A folder of TREC files, those of a source in one, in the order of the table."""
+    """A folder of files for each source, in the order of the table; a large source is
+    several files, whose names are in that order too."""
     path = fresh_path(spark, "by-source")
     docs = _documents(spark, sf).select("source", "doc_id", "text")
-    value = F.format_string(
-        "<DOC><DOCNO>%s</DOCNO><TEXT>%s</TEXT></DOC>", F.col("doc_id").cast("string"), F.col("text")
-    )
-    rows = docs.repartitionByRange("source").sortWithinPartitions("source", "doc_id")
-    rows.select("source", value.alias("value")).write.partitionBy("source").text(path)
+    rows = docs.repartitionByRange("source", "doc_id").sortWithinPartitions("source", "doc_id")
+    sinks.write_trec(rows, path, by="source", escape=True)
     return path
 
 
 def first_per_file(spark, sf):
-    """The first three documents of each file."""
-    read = corpus.read_corpus(spark, _by_source(spark, sf), per_file=3)
-    source = F.regexp_extract("source", "/source=([^/]*)/[^/]*$", 1).alias("source")
-    return read.select(source, F.col("orig_id").cast("bigint").alias("doc_id"))
+    """The first three documents of each file, and of these the first of each source."""
+    read = corpus.read_documents(spark, _by_source(spark, sf), per_file=3)
+    number = F.col("orig_id").cast("bigint").alias("doc_id")
+    rows = read.select(_value_of("source"), number, F.col("source").alias("file"), "begin")
+    return corpus.first_rows(rows, 3, "source", ["file", "begin"]).select("source", "doc_id")
 
 
 def docs_per_file(spark, sf):
     read = corpus.read_corpus(spark, _by_source(spark, sf))
-    source = F.regexp_extract("source", "/source=([^/]*)/[^/]*$", 1).alias("source")
-    return lexicon.documents_per_source(read.withColumn("source", source))
+    return lexicon.documents_per_source(read.withColumn("source", _value_of("source")))
 
 
 def first_documents(spark, sf):
-    """Any hundred documents."""
-    few = corpus.first_documents(_documents(spark, sf), 100)
-    return few.agg(F.count("*").alias("n"))
+    """Any hundred documents, and how many of them are whole rows of the table."""
+    docs = _documents(spark, sf)
+    few = corpus.first_documents(docs, 100)
+    same = docs.select("doc_id", F.md5("text").alias("digest")).distinct()
+    found = few.select("doc_id", F.md5("text").alias("digest")).join(same, ["doc_id", "digest"], "left_semi")
+    return found.agg(F.count("*").alias("n"))
 
 
 def file_pattern(spark, sf):
     """Files told apart by the ends of their names; only those of one kind are read."""
     path = fresh_path(spark, "pattern")
     docs = _documents(spark, sf)
-    for lang, compression in (("en", "none"), ("de", "gzip")):
-        doc = F.format_string("<DOC><DOCNO>%s</DOCNO></DOC>", F.col("doc_id").cast("string"))
-        rows = docs.where(F.col("lang") == lang).select(doc.alias("value"))
-        rows.write.mode("append").option("compression", compression).text(path)
+    english = F.col("lang").eqNullSafe("en")
+    for which, compression in ((english, "none"), (~english, "gzip")):
+        sinks.write_trec(docs.where(which), f"{path}/{compression}", escape=True, compression=compression)
     read = corpus.read_corpus(spark, path, pattern=r"\.txt$")
     return read.select(F.col("orig_id").cast("bigint").alias("doc_id"))
 
@@ -422,8 +466,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         phrases,
         numeric_dropped,
         reconcile_tokens,
+        align_tokens,
         tag_lexicon,
         tag_exact_case,
+        tag_ignore_accents,
         missing_tokens,
         known_tokens,
         names_tokens,
@@ -432,7 +478,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         tag_tokens,
         tag_tokens_shuffled,
         trec_round_trip,
+        read_documents,
         stream_tokenize,
+        stream_documents,
         stream_tag_tokens,
         stream_lexicon,
         token_file,

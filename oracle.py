@@ -133,8 +133,15 @@ def _doc_tokens(**options) -> str:
     return tokens("doc_tokens", _DOCS, **options)
 
 
+def _key(token: str, collation: str) -> str:
+    plain = f"lower(rtrim({token}))"
+    if collation == "ignore_accents":
+        return f"replace(strip_accents({plain}), 'ß', 'ss')"
+    return token if collation == "exact" else plain
+
+
 def _keys(collation: str = "ignore_case") -> str:
-    key = "token" if collation == "exact" else "lower(rtrim(token))"
+    key = _key("token", collation)
     titles = (
         "SELECT page_id, regexp_extract(html, '<title>(.*?)</title>', 1) AS text FROM pages"
     )
@@ -163,7 +170,7 @@ keys AS (
 
 
 def _tagged(collation: str = "ignore_case") -> str:
-    key = "l.token" if collation == "exact" else "lower(rtrim(l.token))"
+    key = _key("l.token", collation)
     return (
         _doc_tokens()
         + ","
@@ -305,6 +312,7 @@ FROM doc_tokens t JOIN tagged g ON g.token = t.token"""
         + _reconcile("marked", "stripped", "page_id"),
         "tag_lexicon": w + _tagged() + "SELECT token, n, kind FROM tagged",
         "tag_exact_case": w + _tagged("exact") + "SELECT token, n, kind FROM tagged",
+        "tag_ignore_accents": w + _tagged("ignore_accents") + "SELECT token, n, kind FROM tagged",
         "missing_tokens": w + _tagged() + "SELECT token, n FROM tagged WHERE kind = 'missing'",
         "known_tokens": w + _tagged() + "SELECT token, n FROM tagged WHERE kind <> 'missing'",
         "names_tokens": w + _tagged() + "SELECT token, n, kind FROM tagged WHERE kind = 'names'",
@@ -318,7 +326,9 @@ FROM doc_tokens t JOIN tagged g ON g.token = t.token"""
         "tag_tokens": w + _tagged() + tag_tokens,
         "tag_tokens_shuffled": w + _tagged() + tag_tokens,
         "trec_round_trip": round_trip,
+        "read_documents": round_trip,
         "stream_tokenize": round_trip,
+        "stream_documents": round_trip,
         "stream_tag_tokens": w
         + tokens("doc_tokens", _trec_text(), markup="trec")
         + ","

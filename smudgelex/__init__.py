@@ -1,6 +1,7 @@
 """Find suspect words in large, noisy text archives with Spark."""
 
 from smudgelex.functions.render import document_json, document_string, token_string
+from smudgelex.operators.align import align_readings, difference_counts
 from smudgelex.operators.compare import (
     different_places,
     reconcile,
@@ -15,6 +16,7 @@ from smudgelex.operators.lexicon import (
     words_of,
 )
 from smudgelex.operators.tag import (
+    heavy_words,
     kind_counts,
     known_tokens,
     missing_tokens,
@@ -42,7 +44,9 @@ from smudgelex.sources.corpus import (
     first_documents,
     first_per_group,
     read_corpus,
+    read_documents,
     stream_corpus,
+    stream_documents,
 )
 from smudgelex.sources.sinks import (
     write_missing,
@@ -59,9 +63,11 @@ from smudgelex.streaming.jobs import (
 )
 
 __all__ = [
+    "align_readings",
     "build_lexicon",
     "compact_counts",
     "corpus_report",
+    "difference_counts",
     "different_places",
     "doc_lengths",
     "doc_stats",
@@ -72,6 +78,7 @@ __all__ = [
     "extract_documents",
     "first_documents",
     "first_per_group",
+    "heavy_words",
     "kind_counts",
     "known_tokens",
     "last_tokens",
@@ -83,6 +90,7 @@ __all__ = [
     "print_tokens",
     "read_corpus",
     "read_counts",
+    "read_documents",
     "read_lexicon",
     "read_reference",
     "read_reference_keys",
@@ -92,6 +100,7 @@ __all__ = [
     "same_token",
     "same_token_and_position",
     "stream_corpus",
+    "stream_documents",
     "tag_events",
     "tag_lexicon",
     "tag_tokens",

@@ -15,14 +15,25 @@ from smudgelex.plans.storage import BROADCAST_BYTES, fits_broadcast, materialize
 # Kinds in the order in which the tables are asked.
 KINDS = ("names", "dict", "geo")
 MISSING = "missing"
-COLLATIONS = ("ignore_case", "exact")
+COLLATIONS = ("ignore_case", "exact", "ignore_accents")
+# Words that are looked up apart when occurrences are joined by shuffle, and the words
+# the sketch that finds them keeps track of; a word that is not among them has at most
+# one of HEAVY occurrences.
+HEAVY = 1000
+_TRACKED = 10_000
 
 
 def lookup_key(word: Column | str, collation: str = "ignore_case") -> Column:
-    """What two words must share to be equal."""
+    """What two words must share to be equal.
+
+    ``ignore_accents`` compares letters alone, as a general collation of a database
+    does: without case, accents and width, by the root collation of Unicode.
+    """
     if collation not in COLLATIONS:
         raise ValueError(f"collation must be one of {COLLATIONS}, not {collation!r}")
     word = F.col(word) if isinstance(word, str) else word
+    if collation == "ignore_accents":
+        return F.collate(F.rtrim(word), "UNICODE_CI_AI")
     return word if collation == "exact" else F.lower(F.rtrim(word))
 
 
@@ -61,7 +72,7 @@ def reference_keys(
 
 def read_reference_keys(spark: SparkSession, path: str) -> DataFrame:
     """Keys written by ``reference_keys``, built once and used by many jobs."""
-    return spark.read.schema("key string, kind string").parquet(path)
+    return spark.read.parquet(path)
 
 
 def _with_key(df: DataFrame, collation: str) -> DataFrame:
@@ -112,35 +123,69 @@ def known_tokens(
     return out.select("token", "n")
 
 
+def heavy_words(tokens: DataFrame, most: int = HEAVY) -> DataFrame:
+    """``(token)``: the words that may be more than one in ``most`` of all tokens.
+
+    A sketch of bounded size for each task, merged; no word is shuffled.
+    """
+    sketch = F.expr(f"approx_top_k(token, {most}, {max(_TRACKED, 4 * most)})")
+    top = tokens.where(F.length("token") > 0).agg(sketch.alias("top"))
+    return top.select(F.explode("top.item").alias("token"))
+
+
 def tag_tokens(
     tokens: DataFrame,
     keys: DataFrame,
     collation: str = "ignore_case",
     broadcast_bytes: int = BROADCAST_BYTES,
+    heavy: DataFrame | None = None,
     salts: int = 64,
 ) -> DataFrame:
     """The token table with a ``kind`` for every occurrence; empty tokens are skipped.
 
     Reference tables that are measured to fit are broadcast and the occurrences
-    stay where they are. Larger ones are joined by shuffle: each key is repeated
-    once per salt and the occurrences of a word are dealt over the salts, so a
-    word that makes up a third of the corpus is spread over as many tasks.
+    stay where they are. Larger ones are joined by shuffle, but for the ``heavy`` words:
+    these are looked up first, at most ``HEAVY`` of them, and broadcast with their kinds.
+    So a word that makes up a third of the corpus meets in no task, and no key is
+    repeated. A caller that has counts can name the heavy words; otherwise a sketch finds
+    them in a pass of its own. A stream has no such pass: without ``heavy`` each of its
+    keys is repeated once per salt.
     """
-    left = _with_key(tokens, collation)
-    if fits_broadcast(keys, "key", broadcast_bytes):
-        joined = left.join(F.broadcast(keys), "key", "left")
-    else:
-        # Derived from the row and its partition, not drawn, so that a retried task
-        # deals alike; the partition keeps rows of equal content apart.
-        place = F.xxhash64(*[F.col(c) for c in tokens.columns], F.spark_partition_id())
-        deal = F.pmod(place, F.lit(salts))
-        every = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
-        salted = keys.select("*", F.explode(every).alias("salt"))
-        joined = left.select("*", deal.alias("salt")).join(
-            salted, ["key", "salt"], "left"
-        )
     kind = F.coalesce("kind", F.lit(MISSING)).alias("kind")
-    return joined.select(*tokens.columns, kind)
+    # The row stays together, so that no column of its own can clash with the lookup's.
+    left = tokens.where(F.length("token") > 0).select(
+        F.struct("*").alias("_row"), lookup_key("token", collation).alias("key")
+    )
+    if fits_broadcast(keys, "key", broadcast_bytes):
+        return left.join(F.broadcast(keys), "key", "left").select("_row.*", kind)
+    if heavy is None and tokens.isStreaming:
+        return _salted_join(left, keys, salts).select("_row.*", kind)
+    heavy = heavy_words(tokens) if heavy is None else heavy.select("token").distinct()
+    known = _with_key(heavy, collation).join(keys, "key", "left")
+    known = materialized(known.select(F.col("token").alias("_word"), F.struct("kind").alias("_known")))
+    left = left.join(F.broadcast(known), F.col("_row.token") == F.col("_word"), "left")
+    # Occurrences that are done match no key; they are dealt out evenly, by the row and
+    # its partition, so that a retried task deals alike. Keys are compared with their
+    # place, 0 for all that have to be looked up, as one value that is hashed whole.
+    done = F.col("_known").isNotNull()
+    place = F.xxhash64("_row", F.spark_partition_id()).bitwiseOR(F.lit(1))
+    own = F.struct(F.when(~done, F.col("key")), F.when(done, place).otherwise(0))
+    left = left.select("_row", "_known", own.alias("_key"))
+    rest = keys.select(F.struct("key", F.lit(0).cast("bigint")).alias("_other"), "kind")
+    match = F.col("_key") == F.col("_other")
+    joined = left.join(rest, match, "left")
+    found = F.when(done, F.col("_known.kind")).otherwise(F.col("kind"))
+    return joined.select("_row.*", F.coalesce(found, F.lit(MISSING)).alias("kind"))
+
+
+def _salted_join(left: DataFrame, keys: DataFrame, salts: int) -> DataFrame:
+    # Derived from the row and its partition, not drawn, so that a retried task
+    # deals alike; the partition keeps rows of equal content apart.
+    place = F.xxhash64("_row", F.spark_partition_id())
+    deal = F.pmod(place, F.lit(salts))
+    every = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
+    salted = keys.select("*", F.explode(every).alias("salt"))
+    return left.select("*", deal.alias("salt")).join(salted, ["key", "salt"], "left")
 
 
 def of_kind(tagged: DataFrame, kind: str) -> DataFrame:

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from smudgelex.functions.tokens import token_array, up_to_last_tag_end
+from smudgelex.sources import reader as source
 
-# Fixed value: names that do not start with a dot and have two characters or more.
-DEFAULT_PATTERN = r"^[^\.].+"
+DEFAULT_PATTERN = source.DEFAULT_PATTERN
 
 _START = "<DOC>"
 _END = "</DOC>"
@@ -210,6 +210,69 @@ def stream_corpus(
     return _documents(extract_documents(_scan(reader, root, pattern)))
 
 
+def _from_source(rows: DataFrame) -> DataFrame:
+    """Parts of a document longer than the bound have no text, but are not left out."""
+    cut = F.col("state") != "whole"
+    value = F.when(cut, _END).otherwise(F.col("value"))
+    docs = extract_documents(rows.withColumn("value", value))
+    reason = F.when(cut, "too long").otherwise(F.col("malformed"))
+    return docs.withColumn("malformed", reason)
+
+
+def read_documents(
+    spark: SparkSession,
+    root: str,
+    pattern: str = DEFAULT_PATTERN,
+    per_file: int | None = None,
+    split: int = source.SPLIT,
+    longest: int = source.LONGEST,
+) -> DataFrame:
+    """``(doc_id, orig_id, source, begin, text, malformed)`` of all files below ``root``.
+
+    The same documents as ``read_corpus``, by the data source ``sgml_documents``: files
+    are cut at the places where documents begin, so nothing is put together again, and
+    ``doc_id`` depends on the file and the offset ``begin`` only, not on the size of
+    splits. Names that begin with ``_`` are read. A file without tags is read in parts
+    of at most ``longest`` bytes, each a row that is ``too long``. With ``per_file`` the
+    rest of a file is not read once n closed documents were found.
+
+    It reads where Arrow does (local, HDFS, S3, GCS, Azure), in Python workers; for
+    other stores there is ``read_corpus``.
+    """
+    source.register(spark)
+    rows = spark.read.format(source.NAME).option("pattern", pattern)
+    rows = rows.option("split", split).option("longest", longest)
+    if per_file is not None:
+        rows = rows.option("perFile", per_file)
+    docs = _from_source(rows.load(root))
+    if per_file is not None:
+        docs = docs.where(~F.col("malformed").eqNullSafe("not closed"))
+    return _placed(docs)
+
+
+def stream_documents(
+    spark: SparkSession,
+    root: str,
+    log: str,
+    pattern: str = DEFAULT_PATTERN,
+    split: int = source.SPLIT,
+    longest: int = source.LONGEST,
+) -> DataFrame:
+    """The rows of ``read_documents`` as a stream of the files that arrive, each whole.
+
+    ``log`` is a folder for the lists of files, in a store that the driver can write;
+    a micro-batch reads what is new since the last one.
+    """
+    source.register(spark)
+    rows = spark.readStream.format(source.NAME).option("pattern", pattern).option("log", log)
+    rows = rows.option("split", split).option("longest", longest)
+    return _placed(_from_source(rows.load(root)))
+
+
+def _placed(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "orig_id", "source", "begin", "text", "malformed")
+
+
 def well_formed(documents: DataFrame) -> DataFrame:
     return documents.where(F.col("malformed").isNull())
 

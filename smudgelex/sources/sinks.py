@@ -21,20 +21,30 @@ def write_missing(tagged: DataFrame, path: str) -> None:
 
 
 def write_trec(
-    documents: DataFrame, path: str, id: str = "doc_id", text: str = "text"
+    documents: DataFrame,
+    path: str,
+    id: str = "doc_id",
+    text: str = "text",
+    by: str | None = None,
+    escape: bool = False,
+    compression: str = "none",
 ) -> DataFrame:
     """A table as SGML files that ``read_corpus`` reads back; a NULL text is empty.
 
     A text that holds a tag of the format or opens a comment would come back as
-    something else. Such rows are not written but returned, as they are.
+    something else. Such rows are not written but returned, as they are; with ``escape``
+    they are written too, every ``<`` of theirs as an entity. ``by`` names a column that
+    gives the files of each value a folder of their own.
     """
     value = F.coalesce(F.col(text), F.lit(""))
     clashes = F.rlike(value, F.lit("</?(?:DOC|DOCNO|TEXT)>|<!"))
-    doc = F.format_string(
-        "<DOC>\n<DOCNO>%s</DOCNO>\n<TEXT>\n%s\n</TEXT>\n</DOC>",
-        F.col(id).cast("string"),
-        value,
-    )
-    written = documents.where(~clashes).select(doc.alias("value"))
-    written.write.mode("overwrite").text(path)
+    if escape:
+        value = F.when(clashes, F.replace(value, F.lit("<"), F.lit("&lt;"))).otherwise(value)
+        clashes = F.lit(False)
+    number = F.coalesce(F.col(id).cast("string"), F.lit(""))
+    doc = F.format_string("<DOC>\n<DOCNO>%s</DOCNO>\n<TEXT>\n%s\n</TEXT>\n</DOC>", number, value)
+    folder = [] if by is None else [F.col(by)]
+    written = documents.where(~clashes).select(*folder, doc.alias("value"))
+    writer = written.write.mode("overwrite").option("compression", compression)
+    (writer if by is None else writer.partitionBy(by)).text(path)
     return documents.where(clashes)

@@ -256,3 +256,13 @@ def test_trec_files_lose_nothing(spark, tmp_path):
     rejected = write_trec(df, str(tmp_path / "out"))
     assert sorted(r.doc_id for r in rejected.collect()) == [4, 5, 6]
     assert texts(read_corpus(spark, str(tmp_path / "out"))) == {"1": [], "2": [], "3": ["a", "b"], "7": ["e", "f"]}
+
+
+def test_trec_files_with_entities_and_folders(spark, tmp_path):
+    rows = [(1, "a </TEXT> b", "x y"), (2, "c <! d", None), (None, "e < f", "z")]
+    df = spark.createDataFrame(rows, "doc_id int, text string, lang string")
+    assert write_trec(df, str(tmp_path / "out"), by="lang", escape=True).count() == 0
+    docs = read_corpus(spark, str(tmp_path / "out")).collect()
+    assert sorted(d.orig_id for d in docs) == ["", "1", "2"] and not any(d.malformed for d in docs)
+    assert len({d.source.split("lang=")[1].split("/")[0] for d in docs}) == 3
+    assert any("a &lt;/TEXT> b" in d.text for d in docs) and any("e < f" in d.text for d in docs)

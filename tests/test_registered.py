@@ -24,10 +24,11 @@ def duck(small):
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+    # A longest common subsequence is too slow in SQL; ``test_align`` has its own.
+    assert set(QUERIES) - {"align_tokens"} == set(SQL)
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+@pytest.mark.parametrize("name", list(SQL))
 def test_query(spark, small, duck, name):
     result = QUERIES[name](spark, small)
     columns = sorted(result.columns)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from smudgelex import (
     build_lexicon,
     corpus_report,
+    heavy_words,
     kind_counts,
     known_tokens,
     lexicon_of,
@@ -127,8 +128,9 @@ def test_both_strategies_agree_on_a_hot_word(spark, tables, no_auto_broadcast):
     small = tag_tokens(hot, keys)
     large = tag_tokens(hot, keys, broadcast_bytes=0)
     assert "BroadcastHashJoin" in plan_of(small)
-    assert "SortMergeJoin [key" in plan_of(large) and "salt" in plan_of(large)
-    assert "salt" not in plan_of(small)
+    # The hot word is looked up apart, the others are joined by shuffle.
+    assert "SortMergeJoin [_key" in plan_of(large) and "BroadcastHashJoin [_row" in plan_of(large)
+    assert "SortMergeJoin" not in plan_of(small)
     assert small.columns == ["doc_id", "position", "token", "kind"]
     assert small.count() == large.count() == 30_000
     assert small.exceptAll(large).count() == 0
@@ -181,3 +183,41 @@ def test_report(spark, tables):
     assert {r.kind: r.n_tokens for r in rows} == {
         "names": 1, "dict": 2, "geo": 0, "missing": 1
     }
+
+
+def test_accents_and_width_do_not_count(spark, lexicon):
+    names, none = words(spark, "name", "Mayagüez", "Straße", "Ångström "), words(spark, "word")
+    keys = reference_keys(names, none, none, "ignore_accents")
+    rows = [(w, 1) for w in ("Mayaguez", "MAYAGÜEZ", "mayagu\u0308ez", "ｍａｙａｇｕｅｚ", "strasse", "angstrom", "mayaguey", "ma yaguez")]
+    tagged = kinds(tag_lexicon(spark.createDataFrame(rows, "token string, n bigint"), keys, "ignore_accents"))
+    assert [tagged[w] for w, _ in rows] == ["names"] * 6 + ["missing"] * 2
+    shuffled = spark.createDataFrame([(w,) for w, _ in rows], "token string")
+    assert kinds(tag_tokens(shuffled, keys, "ignore_accents", broadcast_bytes=0)) == tagged
+
+
+def test_heavy_words_are_looked_up_apart(spark, tables, no_auto_broadcast):
+    spread = [(f"w{i}",) for i in range(3000)]
+    rows = [("Paris",)] * 4000 + [("qwx",)] * 3000 + [("",)] * 500 + [("rome",)] + spread
+    tokens = spark.createDataFrame(rows, "token string").coalesce(1)
+    tokens = tokens.selectExpr("token", "1 as key", "monotonically_increasing_id() as position").repartition(4)
+    found = {r.token for r in heavy_words(tokens, 50).collect()}
+    assert {"Paris", "qwx"} <= found and len(found) <= 50
+    keys = reference_keys(*tables)
+    named = spark.createDataFrame([("Paris",), ("Paris",), ("qwx",)], "token string")
+    for heavy in (None, named, named.limit(0)):
+        tagged = tag_tokens(tokens, keys, broadcast_bytes=0, heavy=heavy)
+        got = {(r.token, r.kind): r["count"] for r in tagged.groupBy("token", "kind").count().collect()}
+        assert got[("Paris", "names")] == 4000 and got[("qwx", "missing")] == 3000
+        assert got[("rome", "geo")] == 1 and sum(got.values()) == 10_001 and len(got) == 3003
+        assert tagged.columns == tokens.columns + ["kind"]
+    # No word fills a partition of the join, and no key is repeated.
+    tagged = tag_tokens(tokens, keys, broadcast_bytes=0, heavy=named)
+    plan = tagged._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tagged = tag_tokens(tokens, keys, broadcast_bytes=0, heavy=named)
+        sizes = [r["count"] for r in tagged.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert max(sizes) < 2 * sorted(sizes)[len(sizes) // 2]

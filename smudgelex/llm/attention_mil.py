@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smudgelex.llm.common import labelled_sample, table
+from smudgelex.llm.common import fitted, table
 from smudgelex.llm.word_arrays import window_hashes, word_hashes, words_of
 
 # Labelled rows of each kind that a fit may see.
@@ -169,7 +169,7 @@ def fit(sample: list[tuple[str, int]], steps: int = 160, seed: int = 7) -> Net |
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Net | None:
     """Fit on labelled rows whose crc32(doc_id) mod 5 is not 0."""
     learned = lambda id: F.crc32(id.cast("string")) % 5 != 0
-    return fit(labelled_sample(docs, labels, "quality", learned, per_class))
+    return fitted(docs, labels, "quality", learned, fit, per_class)
 
 
 def score_quality(df: DataFrame, net: Net | None, id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -2,33 +2,27 @@
 
 from __future__ import annotations
 
-import os
+import pickle
 from collections.abc import Callable, Iterator, Sequence
-from pathlib import Path
+from typing import TypeVar
 
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from smudgelex.plans.storage import materialized
+from smudgelex.plans.workers import ship
 
-__all__ = ["joined", "labelled_sample", "let", "materialized", "ship", "slices", "table"]
+__all__ = ["fitted", "joined", "let", "materialized", "ship", "slices", "table"]
 
 # A side is broadcast only while its measured size stays below this.
 BROADCAST_BYTES = 32 * 1024 * 1024
+# Text that a fit may see.
+SAMPLE_BYTES = 48 * 1024 * 1024
 
-
-def ship(spark: SparkSession) -> None:
-    """Let Python workers on this machine import the package as the driver does.
-
-    On a cluster it is installed or sent with ``--py-files``; then this changes nothing.
-    """
-    root = str(Path(__file__).resolve().parents[2])
-    env = spark.sparkContext.environment
-    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if root not in paths:
-        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+T = TypeVar("T")
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -90,15 +84,21 @@ def joined(
     return out.drop("_salt", "_salt_r", *names.values())
 
 
-
-
-def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, learned: Callable[[Column], Column], per_class: int
-) -> list[tuple[str, int]]:
-    """Whole texts and labels of at most ``per_class`` rows of each label, for fitting.
-
-    Rows are those whose id ``learned`` admits, taken in the order of a hash of the id,
-    so the sample does not depend on the partitions. Null labels and texts are left out.
+def fitted(
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str,
+    learned: Callable[[Column], Column],
+    fit: Callable[[list[tuple[str, int]]], T],
+    per_class: int,
+    most_bytes: int = SAMPLE_BYTES,
+) -> T:
+    """What ``fit`` makes of whole texts and labels, in one task.
+
+    It sees at most ``per_class`` rows of each label and ``most_bytes`` of text: rows
+    whose id ``learned`` admits, taken in the order of a hash of the id, so the sample
+    does not depend on the partitions. Null labels and texts are left out. Texts do not
+    pass through the driver, which gets the model alone.
     """
     known = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_label"))
     known = known.where(learned(F.col("_id")) & F.col("_label").isin(0, 1)).distinct()
@@ -110,6 +110,19 @@ def labelled_sample(
     # At most twice ``per_class`` rows of two numbers.
     rows = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").alias("_doc"), F.col("text").alias("_text"))
     found = rows.join(F.broadcast(chosen), F.col("_doc") == F.col("_id"))
-    found = found.select("_id", "_label", "_text").distinct().orderBy(F.xxhash64("_id"), "_id", "_text")
-    # An id that is repeated with other texts cannot exceed the bound either.
-    return [(r["_text"], r["_label"]) for r in found.limit(2 * per_class).collect()]
+    found = found.select("_id", "_label", "_text", F.xxhash64("_id").alias("_place")).distinct()
+    # An id that is repeated with other texts cannot exceed the bounds either.
+    order = ["_place", "_id", "_text", "_label"]
+    sizes = found.select("_place", "_id", F.md5("_text").alias("_digest"), "_label", F.octet_length("_text").alias("_size"))
+    sizes = sizes.orderBy("_place", "_id", "_digest", "_label").limit(2 * per_class)
+    so_far = F.sum("_size").over(Window.orderBy("_place", "_id", "_digest", "_label"))
+    fitting = sizes.withColumn("_so_far", so_far).where(F.col("_so_far") <= most_bytes).select("_id", "_digest", "_label")
+    found = found.withColumn("_digest", F.md5("_text")).join(F.broadcast(fitting), ["_id", "_digest", "_label"], "left_semi")
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(order[:2] + order[3:] + ["_digest"])
+        sample = [(t, int(y)) for t, y in zip(group["_text"], group["_label"], strict=True)]
+        return pd.DataFrame({"model": [pickle.dumps(fit(sample))]})
+
+    models = found.groupBy(F.lit(0).alias("one")).applyInPandas(run, "model binary").collect()
+    return pickle.loads(models[0]["model"]) if models else fit([])

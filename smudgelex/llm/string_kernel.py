@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from smudgelex.llm.common import labelled_sample, table
+from smudgelex.llm.common import fitted, table
 
 # Labelled rows of each kind that a fit may see.
 PER_CLASS = 1500
@@ -333,7 +333,7 @@ class Scorer:
 def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
     """Fit on labelled rows whose crc32(doc_id) mod 3 is not 1."""
     learned = lambda id: F.crc32(id.cast("string")) % 3 != 1
-    return fit(labelled_sample(docs, labels, "toxic", learned, per_class))
+    return fitted(docs, labels, "toxic", learned, fit, per_class)
 
 
 def with_scores(df: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:

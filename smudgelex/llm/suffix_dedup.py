@@ -1,6 +1,6 @@
 """Remove byte strings that occur twice, by sorting suffixes deep and shallow.
 
-A 400-byte string is judged where it starts. Among the 64-byte grams inside it the one
+A string of 400 bytes (or another length, a parameter) is judged where it starts. Among the 64-byte grams inside it the one
 with the smallest hash is its anchor, so equal strings have equal anchors at equal
 places, and only strings with the same anchor need to be compared. Consecutive starts
 with one anchor form a run, one row for several hundred bytes of text:
@@ -17,13 +17,14 @@ where one anchor has more than ``MANY`` of them (some 6 MB), their strings are c
 instead, spread over all tasks. Digests have 128 bits.
 
 Texts are UTF-8 bytes and strings never cross texts. Null texts count as empty; texts
-below 400 bytes keep everything. Repeated rows are copies of each other, so long ones
+below that length keep everything. Repeated rows are copies of each other, so long ones
 are removed whole. Columns other than id and text are not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +34,9 @@ from pyspark.sql import functions as F
 
 from smudgelex.llm.common import joined, materialized, table
 
+# Bytes of a string; any length from a gram on can be asked for.
 LENGTH = 400
 GRAM = 64
-WINDOW = LENGTH - GRAM + 1
 SHALLOW = 32
 MANY = 10_000
 # Starts that are looked at together; their places take PLACE_BITS of a word.
@@ -62,27 +63,27 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     return _mix(h)
 
 
-def _least(values: np.ndarray) -> np.ndarray:
-    """Least of each ``WINDOW`` consecutive values."""
+def _least(values: np.ndarray, window: int) -> np.ndarray:
+    """Least of each ``window`` consecutive values."""
     width = 1
-    while width * 2 <= WINDOW:
+    while width * 2 <= window:
         values = np.minimum(values[:-width], values[width:])
         width *= 2
-    rest = WINDOW - width
+    rest = window - width
     return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
 
 
-def anchored_runs(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+def anchored_runs(data: np.ndarray, ends: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
     """Text, first start, last start, anchor place and anchor hash of all runs."""
     none = np.zeros(0, dtype=np.int64)
-    if len(data) < LENGTH:
+    if len(data) < length:
         return none, none, none, none, none.astype(np.uint64)
     hashes = gram_hashes(data)
     places = np.arange(len(hashes), dtype=np.uint64)
-    least = _least((hashes >> PLACE_BITS) << PLACE_BITS | places)
-    starts = np.arange(len(data) - LENGTH + 1)
+    least = _least((hashes >> PLACE_BITS) << PLACE_BITS | places, length - GRAM + 1)
+    starts = np.arange(len(data) - length + 1)
     text = np.searchsorted(ends, starts, side="right")
-    inside = np.flatnonzero(starts + LENGTH <= ends[np.minimum(text, len(ends) - 1)])
+    inside = np.flatnonzero(starts + length <= ends[np.minimum(text, len(ends) - 1)])
     if not len(inside):
         return none, none, none, none, none.astype(np.uint64)
     anchor = (least[inside] & ((np.uint64(1) << PLACE_BITS) - np.uint64(1))).astype(np.int64)
@@ -94,14 +95,14 @@ def anchored_runs(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     return text[first], inside[first], inside[last], anchor[first], hashes[anchor[first]]
 
 
-def _segments(blobs: list[bytes]) -> Iterator[tuple[list[tuple[int, int]], bytes, np.ndarray]]:
+def _segments(blobs: list[bytes], length: int = LENGTH) -> Iterator[tuple[list[tuple[int, int]], bytes, np.ndarray]]:
     """Texts put together up to a size; a longer one in parts that overlap."""
-    step = SEGMENT - LENGTH + 1
+    step = SEGMENT - length + 1
     home, parts, size = [], [], 0
     for i, blob in enumerate(blobs):
-        if len(blob) < LENGTH:
+        if len(blob) < length:
             continue
-        for at in range(0, max(1, len(blob) - LENGTH + 1), step):
+        for at in range(0, max(1, len(blob) - length + 1), step):
             part = blob[at : at + SEGMENT]
             if size + len(part) > SEGMENT and parts:
                 yield home, b"".join(parts), np.cumsum([len(p) for p in parts])
@@ -116,18 +117,18 @@ def _segments(blobs: list[bytes]) -> Iterator[tuple[list[tuple[int, int]], bytes
 RUN_SCHEMA = "text binary, first bigint, last bigint, place bigint, anchor bigint, h1 bigint, h2 bigint"
 
 
-def _find_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _find_runs(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     names = ["text", "first", "last", "place", "anchor", "h1", "h2"]
     for batch in batches:
         keys = batch.column(0)
         blobs = batch.column(1).cast(pa.binary()).to_pylist()
-        for home, blob, ends in _segments(blobs):
-            text, first, last, place, anchor = anchored_runs(np.frombuffer(blob, dtype=np.uint8), ends)
+        for home, blob, ends in _segments(blobs, length):
+            text, first, last, place, anchor = anchored_runs(np.frombuffer(blob, dtype=np.uint8), ends, length)
             if not len(text):
                 continue
             view = memoryview(blob)
             digest = xxhash.xxh3_128_digest
-            bounds = zip(first.tolist(), (last + LENGTH).tolist(), (place - first).tolist(), strict=True)
+            bounds = zip(first.tolist(), (last + length).tolist(), (place - first).tolist(), strict=True)
             hashes = np.frombuffer(b"".join([digest(view[a:b], seed=p) for a, b, p in bounds]), dtype="<i8").reshape(-1, 2)
             shift = np.array([at for _, at in home]) - np.r_[0, ends[:-1]]
             of = np.array([i for i, _ in home])[text]
@@ -229,19 +230,19 @@ def _stretches(flags: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.nda
 MARK_SCHEMA = "anchor bigint, h1 bigint, h2 bigint, low bigint, high bigint"
 
 
-def _sort_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sort_groups(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     """Sorts the suffixes of whole groups of runs that arrive in the order of anchors."""
 
     def done(rows: list[tuple]) -> pa.RecordBatch:
         blobs = [r[4] for r in rows]
         sizes = np.array([len(b) for b in blobs])
-        counts = sizes - LENGTH + 1
+        counts = sizes - length + 1
         owner = np.repeat(np.arange(len(rows)), counts)
         within = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
         starts = (np.cumsum(sizes) - sizes)[owner] + within
         group = np.unique([r[0] for r in rows], return_inverse=True)[1]
         data = np.frombuffer(b"".join(blobs), dtype=np.uint8)
-        first, last = _stretches(repeated_suffixes(data, starts, group[owner]), owner)
+        first, last = _stretches(repeated_suffixes(data, starts, group[owner], length), owner)
         of = owner[first]
         low = np.array([r[3] for r in rows], dtype=np.int64)[of]
         keys = [np.array([r[k] for r in rows], dtype=np.int64)[of] for k in range(3)]
@@ -263,32 +264,32 @@ def _sort_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done(rows)
 
 
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _digests(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     names = ["anchor", "h1", "h2", "offset", "digest"]
     for batch in batches:
         for anchor, h1, h2, low, blob in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            view, n = memoryview(blob), len(blob) - LENGTH + 1
-            digests = [xxhash.xxh3_128_digest(view[i : i + LENGTH]) for i in range(n)]
+            view, n = memoryview(blob), len(blob) - length + 1
+            digests = [xxhash.xxh3_128_digest(view[i : i + length]) for i in range(n)]
             same = [pa.array(np.full(n, x, dtype=np.int64)) for x in (anchor, h1, h2)]
             offsets = pa.array(np.arange(low, low + n, dtype=np.int64))
             yield pa.RecordBatch.from_arrays([*same, offsets, pa.array(digests, pa.binary())], names=names)
 
 
-def _cut_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut_runs(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     names = ["anchor", "h1", "h2", "low", "content", "many"]
     for batch in batches:
         out: list[list] = [[] for _ in names]
         for text, runs in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             blob = text.encode()
             for r in runs:
-                row = (r["anchor"], r["h1"], r["h2"], r["first"] - r["place"], blob[r["first"] : r["last"] + LENGTH], r["many"])
+                row = (r["anchor"], r["h1"], r["h2"], r["first"] - r["place"], blob[r["first"] : r["last"] + length], r["many"])
                 for column, value in zip(out, row, strict=True):
                     column.append(value)
         kinds = [pa.int64()] * 4 + [pa.binary(), pa.bool_()]
         yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], names=names)
 
 
-def _mixed_marks(mixed: DataFrame, texts: DataFrame) -> DataFrame:
+def _mixed_marks(mixed: DataFrame, texts: DataFrame, length: int) -> DataFrame:
     """Repeated starts, from the anchor, of the distinct runs that share an anchor."""
     keys = ["anchor", "h1", "h2"]
     one = F.min(F.struct("text", "first", "last", "place")).alias("one")
@@ -302,11 +303,11 @@ def _mixed_marks(mixed: DataFrame, texts: DataFrame) -> DataFrame:
     needed = joined(texts, materialized(per_text.select("text")), ["text"], "inner")
     needed = needed.groupBy("text").agg(F.min("body").alias("body"))
     cut = needed.join(per_text, "text").select("body", "runs")
-    cut = materialized(cut.mapInArrow(_cut_runs, "anchor bigint, h1 bigint, h2 bigint, low bigint, content binary, many boolean"))
+    cut = materialized(cut.mapInArrow(partial(_cut_runs, length=length), "anchor bigint, h1 bigint, h2 bigint, low bigint, content binary, many boolean"))
     few = cut.where("not many").drop("many").repartition("anchor").sortWithinPartitions("anchor")
-    sorted_ = few.mapInArrow(_sort_groups, MARK_SCHEMA)
+    sorted_ = few.mapInArrow(partial(_sort_groups, length=length), MARK_SCHEMA)
     spelled = cut.where("many").drop("many").mapInArrow(
-        _digests, "anchor bigint, h1 bigint, h2 bigint, offset bigint, digest binary"
+        partial(_digests, length=length), "anchor bigint, h1 bigint, h2 bigint, offset bigint, digest binary"
     )
     counts = spelled.groupBy("anchor", "offset", "digest").agg(F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
     again = spelled.join(counts, ["anchor", "offset", "digest"])
@@ -317,12 +318,12 @@ def _mixed_marks(mixed: DataFrame, texts: DataFrame) -> DataFrame:
     return sorted_.unionByName(counted).unionByName(settled)
 
 
-def repeated_spans(df: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_spans(df: DataFrame, id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """``(text, spans)``: by MD5 of a text, the starts of repeated strings, as an array
     of first and last; texts without any are left out."""
     rows = df.select(F.coalesce(F.col(text), F.lit("")).alias("body"))
     texts = rows.select(F.unhex(F.md5("body")).alias("text"), "body")
-    runs = materialized(texts.mapInArrow(_find_runs, RUN_SCHEMA))
+    runs = materialized(texts.mapInArrow(partial(_find_runs, length=length), RUN_SCHEMA))
     shared = runs.groupBy("anchor").agg(
         F.count(F.lit(1)).alias("n"),
         (
@@ -333,7 +334,7 @@ def repeated_spans(df: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
     hits = materialized(joined(runs, shared, ["anchor"], "inner"))
     whole = hits.where("not mixed").select("text", "first", "last")
     mixed = hits.where("mixed").drop("mixed")
-    marks = materialized(_mixed_marks(mixed, texts))
+    marks = materialized(_mixed_marks(mixed, texts, length))
     keys = ["anchor", "h1", "h2"]
     parts = mixed.join(marks, keys).select(
         "text", (F.col("place") + F.col("low")).alias("first"), (F.col("place") + F.col("high")).alias("last")
@@ -346,11 +347,11 @@ def repeated_spans(df: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
 RESULT_SCHEMA = "n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, rest string"
 
 
-def _remove(blob: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, bytes, str]:
+def _remove(blob: bytes, spans: list[tuple[int, int]], length: int = LENGTH) -> tuple[int, int, bytes, str]:
     """Bytes removed, maximal runs removed, what remains, and its whole characters."""
     kept, removed, n, at = [], 0, 0, 0
     for first, last in spans:
-        start, end = max(first, at), last + LENGTH
+        start, end = max(first, at), last + length
         if first > at or not n:
             kept.append(blob[at:first])
             n += 1
@@ -363,11 +364,17 @@ def _remove(blob: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, bytes,
     return removed, n, b"".join(kept), "".join([k.decode("utf-8", "ignore") for k in kept])
 
 
-def remove_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
-    """``(id, carry..., n_bytes, n_removed, n_spans, kept, rest)``; ``kept`` is what
+def remove_repeats(
+    df: DataFrame, id: str = "doc_id", text: str = "text", carry: tuple[str, ...] = (), length: int = LENGTH
+) -> DataFrame:
+    """Removes what strings of ``length`` bytes that start more than once cover.
+
+    ``(id, carry..., n_bytes, n_removed, n_spans, kept, rest)``; ``kept`` is what
     remains, as bytes, since a removed string may end inside a character; ``rest`` holds
     the characters that remain whole, as text."""
-    spans = materialized(repeated_spans(df, id, text))
+    if length < GRAM:
+        raise ValueError(f"a string has {GRAM} bytes at least")
+    spans = materialized(repeated_spans(df, id, text, length))
     body = F.coalesce(F.col(text), F.lit(""))
     extra = [F.col(c).alias(f"carry_{i}") for i, c in enumerate(carry)]
     rows = df.select(F.col(id).alias("id"), *extra, F.unhex(F.md5(body)).alias("text"), body.alias("body"))
@@ -388,7 +395,7 @@ def remove_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", carry:
             out = []
             for body, found in zip(batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist(), strict=True):
                 blob = body.encode()
-                out.append((len(blob), *_remove(blob, [(s["first"], s["last"]) for s in found])))
+                out.append((len(blob), *_remove(blob, [(s["first"], s["last"]) for s in found], length)))
             types = [pa.int64()] * 3 + [pa.binary(), pa.string()]
             columns = [pa.array([r[k] for r in out], kind) for k, kind in enumerate(types)]
             found = [*names, "n_bytes", "n_removed", "n_spans", "kept", "rest"]
@@ -403,4 +410,5 @@ def remove_repeats(df: DataFrame, id: str = "doc_id", text: str = "text", carry:
 
 def op8_suffix_dedup(spark, sf):
     out = remove_repeats(table(spark, sf, "documents"))
-    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    digest = F.sha2("kept", 256).alias("kept_sha256")
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", digest, (F.col("n_removed") > 0).alias("repeats"))

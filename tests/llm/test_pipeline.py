@@ -39,5 +39,5 @@ def test_empty(spark, no_docs, folder):
 
 
 def test_every_operator_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in registry.QUERIES) == list(range(1, 14))
     assert len(c.STAGES) == 5 and set(registry.ORACLE_SQL) <= set(registry.QUERIES)

@@ -31,13 +31,13 @@ def near_copies(rng):
     return texts + [shared[10:600] * 2, shared[:399], shared[:400], "ab" * 700]
 
 
-@pytest.mark.parametrize("many", [400, 2])
-def test_by_brute_force(spark, docs, texts, many, monkeypatch):
+@pytest.mark.parametrize(("many", "length"), [(400, s.LENGTH), (2, s.LENGTH), (400, 100), (2, 64)])
+def test_by_brute_force(spark, docs, texts, many, length, monkeypatch):
     monkeypatch.setattr(s, "MANY", many)
     rows = [(i, t) for i, t, *_ in texts] + [(1000 + i, t) for i, t in enumerate(near_copies(random.Random(many)))]
     df = spark.createDataFrame([(i, t, "n") for i, t in rows], "doc_id bigint, text string, kept string").repartition(4)
-    out = s.remove_repeats(df).collect()
-    found = brute([(t or "").encode() for _, t in rows])
+    out = s.remove_repeats(df, length=length).collect()
+    found = brute([(t or "").encode() for _, t in rows], length)
     want = Counter((i, *f) for (i, _), f in zip(rows, found, strict=True))
     assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in out) == want
     for r in out:

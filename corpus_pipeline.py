@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from smudgelex.llm import best_fit_packing, quality_mcd, string_kernel, suffix_dedup, weighted_minhash
 from smudgelex.llm.common import joined, materialized, ship, table
 
+# Bytes of a passage that may not repeat: fifty words of any language here are longer.
+PASSAGE = 300
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -65,7 +67,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    cut = suffix_dedup.remove_repeats(docs, carry=("lang", "source"))
+    cut = suffix_dedup.remove_repeats(docs, carry=("lang", "source"), length=PASSAGE)
     text = F.col("rest").alias("text")
     return cut.select("doc_id", text, "lang", "source", F.length("rest").cast("bigint").alias("n_chars"))
 

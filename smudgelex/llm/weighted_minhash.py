@@ -14,10 +14,11 @@ task.
 
 Equal word sequences count as one text. A band's bucket is never expanded into pairs:
 its members are compared with the bucket's first, then, as far as they are still in
-different classes, with its last. In the end members of different classes are compared
-with each other if they share two bands: texts at a similarity of 0.8 share ten of 24
-on average and fewer than two once in 18,000 times, while texts that have one passage
-in common rarely share two. Classes are the connected components of the verified links.
+different classes, with its last. In the end members of mixed buckets are compared across
+classes, if they can reach the similarity at all: their total weights are in that ratio,
+and among the rarest runs of each, of a weight that similar texts cannot differ in, one
+is shared. Both are necessary, so no link is lost; pairs that pass and are not linked
+grow with the square of a family. Classes are the connected components of the links.
 
 Words are split at white space, ASCII capitals count as small letters. A text of fewer
 than five words has one run, all of it. Null and empty texts have none and are classes
@@ -34,10 +35,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from smudgelex.llm.common import joined, materialized, table
+from smudgelex.llm.common import joined, materialized, slices, table
 from smudgelex.llm.components import connected
 from smudgelex.llm.word_arrays import mix, window_hashes, word_hashes, words_of
 
@@ -215,14 +216,51 @@ def _signed(rows: DataFrame, weights) -> DataFrame:
     return rows.mapInArrow(sign, "id bigint, key binary, bands array<bigint>, note string")
 
 
-def _two_bands() -> Column:
-    """A key for every two bands of a text."""
+def prefix_of(runs: np.ndarray, weights: np.ndarray, each: np.ndarray, least: float) -> np.ndarray:
+    """The first runs, rare ones first, whose weight is more than two texts that reach
+    ``least`` can differ in: such texts have one of these runs in common."""
+    order = np.lexsort((runs, -each))
+    so_far = np.cumsum(weights[order], dtype=float)
+    spare = (1.0 - least + 1e-6) * so_far[-1] if len(runs) else 0.0
+    return runs[order[: np.searchsorted(so_far, spare, side="right") + 1]]
 
-    def with_later(band: Column, i: Column) -> Column:
-        later = F.slice("bands", i + 2, F.size("bands"))
-        return F.transform(later, lambda other, j: F.xxhash64(i, j, band, other))
 
-    return F.flatten(F.transform("bands", with_later))
+def _prefixes(texts: DataFrame, weights, least: float) -> DataFrame:
+    """``(id, total, run)`` for the runs of the prefix of each text."""
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w = weights.value
+        for batch in batches:
+            for part in slices(batch, 1, ROWS):
+                runs, counts, doc, _ = shingles_of(_texts(part, 1))
+                own, each = w.of(runs, counts), w.of(runs, np.ones(len(runs), dtype=np.int64))
+                ends = np.searchsorted(doc, np.arange(part.num_rows + 1))
+                bounds = list(zip(ends[:-1], ends[1:], strict=True))
+                kept = [prefix_of(runs[a:b], own[a:b], each[a:b], least).view(np.int64) for a, b in bounds]
+                lists = pa.ListArray.from_arrays(np.cumsum([0, *map(len, kept)], dtype=np.int32), pa.array(np.concatenate([*kept, np.zeros(0, np.int64)])))
+                total = pa.array([float(own[a:b].sum(dtype=float)) for a, b in bounds])
+                yield pa.RecordBatch.from_arrays([part.column(0), total, lists], names=["id", "total", "runs"])
+
+    found = texts.mapInArrow(first, "id bigint, total double, runs array<bigint>")
+    return found.select("id", "total", F.explode("runs").alias("run"))
+
+
+def _unlinked_pairs(mine: DataFrame, rows: DataFrame, weights, least: float) -> DataFrame:
+    """``(a, b)``: all pairs of texts of different classes that can reach ``least``.
+
+    ``mine`` has the ``id`` and ``id_class`` of the texts to be compared. Two texts that
+    reach it have totals in that ratio and a run of their prefixes in common.
+    """
+    needed = joined(rows.select("id", "text"), mine.select("id"), ["id"], "inner")
+    needed = needed.groupBy("id").agg(F.min("text").alias("text"))
+    first = materialized(_prefixes(needed, weights, least).join(mine, "id"))
+    mixed = first.groupBy("run").agg(F.min("id_class").alias("x"), F.max("id_class").alias("y"))
+    first = materialized(first.join(mixed.where("x != y").select("run"), "run"))
+    left = first.withColumnsRenamed({"id": "a", "id_class": "a_class", "total": "a_total"})
+    right = first.withColumnsRenamed({"id": "b", "id_class": "b_class", "total": "b_total"})
+    near = F.least("a_total", "b_total") >= (least - 1e-6) * F.greatest("a_total", "b_total")
+    pairs = left.join(right, "run").where((F.col("a") < F.col("b")) & (F.col("a_class") != F.col("b_class")) & near)
+    return pairs.select("a", "b").distinct()
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, weights, least: float) -> DataFrame:
@@ -305,13 +343,7 @@ def near_duplicate_classes(
             mixed = mine.groupBy("band", "h").agg(F.min("id_class").alias("x"), F.max("id_class").alias("y"))
             mine = mine.join(mixed.where("x != y").select("band", "h"), ["band", "h"])
             mine = materialized(mine.groupBy("id").agg(F.first("id_class").alias("id_class")))
-            twos = reps.join(mine, "id").select("id", "id_class", F.explode(_two_bands()).alias("two"))
-            twos = materialized(twos)
-            mixed = twos.groupBy("two").agg(F.min("id_class").alias("x"), F.max("id_class").alias("y"))
-            twos = materialized(twos.join(mixed.where("x != y").select("two"), "two"))
-            left = twos.withColumnsRenamed({"id": "a", "id_class": "a_class"})
-            right = twos.withColumnsRenamed({"id": "b", "id_class": "b_class"})
-            more = left.join(right, "two").where("a < b and a_class != b_class").select("a", "b").distinct()
+            more = _unlinked_pairs(mine, rows, weights, least)
             more = more.join(done, ["a", "b"], "left_anti")
         else:
             more = _classed(_classed(more, "a", labels), "b", labels).where("a_class != b_class").select("a", "b")

@@ -72,3 +72,22 @@ def test_odd_rows_and_empty(docs, no_docs, texts):
     alone = [r for r in out if r.doc_id in (400, 401, 402)]
     assert all(r.class_id == r.doc_id and r.n_links == 0 for r in alone)
     assert m.near_duplicate_classes(no_docs).count() == 0
+
+
+def test_similar_texts_share_a_run_of_their_prefixes():
+    rng = np.random.default_rng(5)
+    for least in (0.5, 0.8, 0.95):
+        near = 0
+        for _ in range(400):
+            each = dict(enumerate(rng.choice([1.0, 3.0, 3.0, 5.5], 60)))
+            runs = np.sort(rng.choice(60, 40, False)).astype(np.uint64)
+            other = np.unique(np.r_[runs[rng.random(40) < rng.uniform(least, 1)], rng.choice(60, rng.integers(0, 3))]).astype(np.uint64)
+            sides = []
+            for r in (runs, other):
+                idf = np.array([each[int(x)] for x in r])
+                sides.append((r, idf * (1 + (rng.random(len(r)) < 0.02)), idf))
+            if m.similarity(sides[0][:2], sides[1][:2]) >= least:
+                near += 1
+                first = [set(m.prefix_of(r, w, e, least).tolist()) for r, w, e in sides]
+                assert first[0] & first[1]
+        assert near > 20

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from smudgelex.llm.common import fitted, table
+from smudgelex.llm.common import fitted, slices, table
 
 # Labelled rows of each kind that a fit may see.
 PER_CLASS = 1500
@@ -45,9 +45,10 @@ REACH = 3
 LOW, HIGH = -0.5, 2.0
 # Longer words are read in overlapping windows.
 WINDOW = 32
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 THRESHOLD = 0.7
 ROWS = 2048
+PART_BYTES = 1 << 21
 
 _WORD = re.compile(r"[^\W_](?:\S*[^\W_])?")
 _SENTENCE = re.compile(r"[.!?]\s+|\n")
@@ -343,8 +344,7 @@ def with_scores(df: DataFrame, model: Model, text: str = "text", name: str = "sc
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for batch in batches:
-            for start in range(0, batch.num_rows, ROWS):
-                part = batch.slice(start, ROWS)
+            for part in slices(batch, at, ROWS, PART_BYTES):
                 texts = [t or "" for t in part.column(at).to_pylist()]
                 scores = pa.array(scorer.score(texts), pa.float64())
                 yield pa.RecordBatch.from_arrays([*part.columns, scores], names=[*part.schema.names, name])

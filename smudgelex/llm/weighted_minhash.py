@@ -50,7 +50,9 @@ SAMPLES = BANDS * BAND_ROWS
 RARE = 1000
 # Rows of the table of random numbers; runs share a row by their hash.
 RANDOM_ROWS = 1 << 16
+# Texts that are cut into runs at once, and their bytes.
 ROWS = 1024
+PART_BYTES = 1 << 20
 RANGE_CHARS = 4_000_000
 BLOCK = 8192
 
@@ -90,8 +92,8 @@ def common_runs(rows: DataFrame, chars: int, least: int) -> tuple[np.ndarray, np
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, ROWS):
-                runs = np.sort(shingles_of(_texts(batch.slice(start, ROWS), 0))[0])
+            for part in slices(batch, 0, ROWS, PART_BYTES):
+                runs = np.sort(shingles_of(_texts(part, 0))[0])
                 ranges = (runs >> shift).astype(np.int64)
                 bytes_ = ((runs >> drop) & low).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
                 found, first = np.unique(ranges, return_index=True)
@@ -198,8 +200,7 @@ def _signed(rows: DataFrame, weights) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = weights.value
         for batch in batches:
-            for start in range(0, batch.num_rows, ROWS):
-                part = batch.slice(start, ROWS)
+            for part in slices(batch, 1, ROWS, PART_BYTES):
                 runs, counts, doc, keys = shingles_of(_texts(part, 1))
                 own = w.of(runs, counts)
                 ends = np.searchsorted(doc, np.arange(part.num_rows + 1))
@@ -231,7 +232,7 @@ def _prefixes(texts: DataFrame, weights, least: float) -> DataFrame:
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = weights.value
         for batch in batches:
-            for part in slices(batch, 1, ROWS):
+            for part in slices(batch, 1, ROWS, PART_BYTES):
                 runs, counts, doc, _ = shingles_of(_texts(part, 1))
                 own, each = w.of(runs, counts), w.of(runs, np.ones(len(runs), dtype=np.int64))
                 ends = np.searchsorted(doc, np.arange(part.num_rows + 1))
@@ -276,8 +277,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, weights, least: float) -> Data
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = weights.value
         for batch in batches:
-            for start in range(0, batch.num_rows, ROWS // 4):
-                part = batch.slice(start, ROWS // 4)
+            for part in slices(batch, 2, ROWS // 4, PART_BYTES // 2):
                 left, right = _texts(part, 2), _texts(part, 3)
                 place = {t: i for i, t in enumerate(dict.fromkeys([*left, *right]))}
                 runs, counts, doc, _ = shingles_of(list(place))

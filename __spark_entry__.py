@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 import oracle
 from smudgelex.functions import render
 from smudgelex.operators import align, compare, lexicon, tag, tokenize
-from smudgelex.plans import jobs
+from smudgelex.plans import jobs, metrics
 from smudgelex.plans.storage import fresh_path
 from smudgelex.sources import corpus, sinks, tables
 from smudgelex.streaming import jobs as streams
+from smudgelex.streaming import lexicon_store
 
 try:
     import corpus_pipeline
@@ -310,6 +311,27 @@ def stream_lexicon(spark, sf):
     return counts.groupBy("token").agg(F.sum("n").alias("n"))
 
 
+def running_lexicon(spark, sf):
+    """The last version of a lexicon that grew with every micro-batch of a stream."""
+    files, rest = _trec_files(spark, sf)
+    store = lexicon_store.LexiconStore(fresh_path(spark, "lexicon"))
+    state = fresh_path(spark, "lexicon-state")
+    lexicon_store.write_lexicon(_token_stream(spark, files), store, state).awaitTermination()
+    counts = store.read(spark).union(lexicon.lexicon_of(rest, markup="trec"))
+    return counts.groupBy("token").agg(F.sum("n").alias("n"))
+
+
+def page_metrics(spark, sf):
+    """What reading the pages counts by the way."""
+    documents, tokens = Observation("documents"), Observation("tokens")
+    pages = metrics.observe_documents(_table(spark, sf, "pages"), documents, "html", "html")
+    read = tokenize.tokenize(pages, "page_id", "html", markup="html")
+    _stored(metrics.observe_tokens(read, tokens))
+    found = documents.get | tokens.get
+    names = ("n_documents", "n_kept", "n_dropped", "n_unknown", "n_processed")
+    return spark.range(1).select(*[F.lit(found[n]).cast("bigint").alias(n) for n in names])
+
+
 def token_file(spark, sf):
     """Directory of files to token file, read back as a lexicon."""
     files, rest = _trec_files(spark, sf)
@@ -483,6 +505,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         stream_documents,
         stream_tag_tokens,
         stream_lexicon,
+        running_lexicon,
+        page_metrics,
         token_file,
         missing_file,
         malformed_documents,

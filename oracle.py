@@ -232,6 +232,14 @@ SELECT t.doc_id, t.position, t.token, t.type, t.phrase_id, g.kind
 FROM doc_tokens t JOIN tagged g ON g.token = t.token"""
     kinds = "(VALUES ('names'), ('dict'), ('geo'), ('missing')) k(kind)"
     entity = "SELECT unnest(regexp_extract_all(regexp_replace(html, '<[^>]*>|<', ' ', 'g'), "
+    names = entity + _q(rf"&([^{_SPACE};&<>]*);") + ", 1)) AS entity FROM pages"
+    treated = (
+        "SELECT entity, CASE WHEN entity IN ("
+        + ", ".join(map(_q, c.KEPT_ENTITIES))
+        + ") THEN 'kept' WHEN entity IN ("
+        + ", ".join(map(_q, c.DROPPED_ENTITIES))
+        + f") THEN 'dropped' ELSE 'unknown' END AS treatment FROM ({names})"
+    )
     return {
         "tokenize_documents": w + _doc_tokens() + all_tokens,
         "tokenize_keep_numeric": w + _doc_tokens(numeric="keep") + all_tokens,
@@ -252,13 +260,7 @@ FROM doc_tokens t JOIN tagged g ON g.token = t.token"""
         + tokens("page_tokens", _PAGES, "page_id", "trec", tags=True)
         + "SELECT page_id, position, type, format('{} [{}@{}:{}]', token, type, position, "
         "phrase_id) AS rendered FROM page_tokens",
-        "entity_counts": "SELECT entity, CASE WHEN entity IN ("
-        + ", ".join(map(_q, c.KEPT_ENTITIES))
-        + ") THEN 'kept' WHEN entity IN ("
-        + ", ".join(map(_q, c.DROPPED_ENTITIES))
-        + f") THEN 'dropped' ELSE 'unknown' END AS treatment, count(*) AS n FROM ({entity}"
-        + _q(rf"&([^{_SPACE};&<>]*);")
-        + ", 1)) AS entity FROM pages) GROUP BY entity",
+        "entity_counts": f"SELECT entity, treatment, count(*) AS n FROM ({treated}) GROUP BY ALL",
         "doc_length": w
         + _doc_tokens()
         + "SELECT d.doc_id, count(t.token) AS n_tokens, count(DISTINCT t.phrase_id) AS n_phrases "
@@ -342,6 +344,19 @@ FROM doc_tokens t JOIN tagged g ON g.token = t.token"""
         + ","
         + _LEXICON
         + lexicon,
+        "running_lexicon": w
+        + tokens("doc_tokens", _trec_text(), markup="trec")
+        + ","
+        + _LEXICON
+        + lexicon,
+        "page_metrics": w
+        + tokens("page_tokens", _PAGES, "page_id", "html")
+        + f", entities AS ({treated}) SELECT (SELECT count(*) FROM pages) AS n_documents, "
+        + ", ".join(
+            f"(SELECT count(*) FROM entities WHERE treatment = '{k}') AS n_{k}"
+            for k in ("kept", "dropped", "unknown")
+        )
+        + ", (SELECT count(*) FROM page_tokens WHERE token <> '') AS n_processed",
         "token_file": w
         + tokens("doc_tokens", _trec_text(), markup="trec")
         + ","

@@ -39,6 +39,7 @@ from smudgelex.operators.tokenize import (
     with_last_flag,
 )
 from smudgelex.plans.jobs import corpus_report, print_tokens, tag_words
+from smudgelex.plans.metrics import StreamMetrics, observe_documents, observe_tokens
 from smudgelex.sources.corpus import (
     extract_documents,
     first_documents,
@@ -48,6 +49,7 @@ from smudgelex.sources.corpus import (
     stream_corpus,
     stream_documents,
 )
+from smudgelex.sources.key_tables import store_keys, stored_keys
 from smudgelex.sources.sinks import (
     write_missing,
     write_token_table,
@@ -61,8 +63,11 @@ from smudgelex.streaming.jobs import (
     write_counts,
     write_token_stream,
 )
+from smudgelex.streaming.lexicon_store import LexiconStore, write_lexicon
 
 __all__ = [
+    "LexiconStore",
+    "StreamMetrics",
     "align_readings",
     "build_lexicon",
     "compact_counts",
@@ -84,6 +89,8 @@ __all__ = [
     "last_tokens",
     "lexicon_of",
     "missing_tokens",
+    "observe_documents",
+    "observe_tokens",
     "of_kind",
     "of_type",
     "phrases",
@@ -99,6 +106,8 @@ __all__ = [
     "reference_keys",
     "same_token",
     "same_token_and_position",
+    "store_keys",
+    "stored_keys",
     "stream_corpus",
     "stream_documents",
     "tag_events",
@@ -111,6 +120,7 @@ __all__ = [
     "with_last_flag",
     "words_of",
     "write_counts",
+    "write_lexicon",
     "write_missing",
     "write_token_stream",
     "write_token_table",

@@ -56,10 +56,13 @@ def reconcile_readings(
     on = id_columns(id)
     a, b = token_array(text, **left).alias("a"), token_array(text, **right).alias("b")
     pairs = spread(df.select(*on, text)).select(*on, F.arrays_zip(a, b).alias("pairs"))
-    rows = pairs.select(*on, F.posexplode("pairs").alias("pos", "pair"))
-    return rows.where(~same_token(F.col("pair.a"), F.col("pair.b"))).select(
+    # Most pairs agree, so they are left out before any becomes a row.
+    placed = F.transform("pairs", lambda p, i: F.struct(i.alias("pos"), p["a"].alias("a"), p["b"].alias("b")))
+    apart = F.filter(placed, lambda p: ~same_token(p["a"], p["b"]))
+    rows = pairs.select(*on, F.explode(apart).alias("pair"))
+    return rows.select(
         *on,
-        (F.col("pos") + 1).alias("position"),
+        (F.col("pair.pos") + 1).alias("position"),
         F.col("pair.a.token").alias("left_token"),
         F.col("pair.a.type").alias("left_type"),
         F.col("pair.b.token").alias("right_token"),

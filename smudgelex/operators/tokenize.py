@@ -169,11 +169,12 @@ def entity_counts(df: DataFrame, text: str = "text", markup: str = "trec") -> Da
     return (
         rows.groupBy("entity")
         .agg(F.count(F.lit(1)).alias("n"))
-        .select("entity", _treatment(F.col("entity")).alias("treatment"), "n")
+        .select("entity", entity_treatment(F.col("entity")).alias("treatment"), "n")
     )
 
 
-def _treatment(name: Column) -> Column:
+def entity_treatment(name: Column) -> Column:
+    """What becomes of an entity, by its name."""
     return (
         F.when(name.isin(*c.KEPT_ENTITIES), "kept")
         .when(name.isin(*c.DROPPED_ENTITIES), "dropped")

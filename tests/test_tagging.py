@@ -19,6 +19,7 @@ from smudgelex import (
 )
 from smudgelex.operators.tag import of_kind, tokens_processed
 from smudgelex.plans import storage
+from smudgelex.sources.key_tables import store_keys, stored_keys
 
 
 def words(spark, column, *values):
@@ -221,3 +222,18 @@ def test_heavy_words_are_looked_up_apart(spark, tables, no_auto_broadcast):
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
     assert max(sizes) < 2 * sorted(sizes)[len(sizes) // 2]
+
+
+def test_stored_keys_stay_where_they_are(spark, tables, lexicon, no_auto_broadcast, tmp_path):
+    keys = store_keys(reference_keys(*tables), "stored_reference_keys", buckets=4)
+    try:
+        again = stored_keys(spark, "stored_reference_keys")
+        for side in (keys, again):
+            tagged = tag_lexicon(lexicon, side, broadcast_bytes=0)
+            assert kinds(tagged) == kinds(tag_lexicon(lexicon, reference_keys(*tables)))
+        # Planned anew, since a plan that ran is spelled twice.
+        tagged = tag_lexicon(lexicon, again, broadcast_bytes=0)
+        plan = tagged._jdf.queryExecution().executedPlan().toString()
+        assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 1
+    finally:
+        spark.sql("DROP TABLE stored_reference_keys")

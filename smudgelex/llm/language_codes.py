@@ -43,6 +43,8 @@ WIDTH = 1 << 13
 LENGTHS = (1, 2, 3, 4)
 # Rows of all languages together that the fit sees.
 SAMPLE = 2400
+# Parts in which the rows of a language are ranked first.
+RANK_PARTS = 32
 COST = 4.0
 # Up to so many languages all halvings are used, beyond it random codes.
 EXHAUSTIVE = 6
@@ -176,10 +178,13 @@ def train(df: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "la
     rows = rows.where(_learned(F.col("id")) & F.col("text").isNotNull() & F.col("lang").isNotNull())
     kinds = rows.select("lang").distinct().limit(sample).count()
     each = sample // max(1, kinds)
-    # Only ids and hashes are ranked, and each task keeps its own first rows alone.
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    rank = rows.select("id", "lang").withColumn("rank", F.row_number().over(order))
-    chosen = rank.where(F.col("rank") <= each).select(F.col("id").alias("_id"), F.col("lang").alias("_lang")).distinct()
+    # Only ids and hashes are ranked: in parts first, so that no task gets more rows of a
+    # language than parts times rows wanted.
+    rank = rows.select("id", "lang", F.pmod(F.xxhash64("id"), F.lit(RANK_PARTS)).alias("part"))
+    for keys in (["lang", "part"], ["lang"]):
+        order = Window.partitionBy(*keys).orderBy(F.xxhash64("id"), "id")
+        rank = rank.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= each)
+    chosen = rank.select(F.col("id").alias("_id"), F.col("lang").alias("_lang")).distinct()
     same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("lang") == F.col("_lang"))
     # At most ``sample`` rows of an id and a language.
     found = rows.join(F.broadcast(chosen), same, "left_semi").select("lang", "text")

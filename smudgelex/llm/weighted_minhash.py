@@ -138,13 +138,15 @@ def _tables(base: float) -> tuple[np.ndarray, ...]:
     """Scale, offset and log cost of the sampling, and what they give for weight ``base``."""
     random = np.random.default_rng(99)
     shape = (RANDOM_ROWS, SAMPLES)
-    scale = random.gamma(2.0, 1.0, shape).astype(np.float32)
-    offset = random.random(shape, dtype=np.float32)
-    cost = np.log(random.gamma(2.0, 1.0, shape)).astype(np.float32)
+    # Half precision is enough for numbers that only have to be random.
+    scale = random.gamma(2.0, 1.0, shape).astype(np.float16)
+    offset = random.random(shape, dtype=np.float32).astype(np.float16)
+    cost = np.log(random.gamma(2.0, 1.0, shape)).astype(np.float16)
     return scale, offset, cost, *_sampled(np.float32(np.log(base)), scale, offset, cost)
 
 
 def _sampled(log_weight, scale, offset, cost):
+    scale, offset = np.maximum(scale.astype(np.float32), np.float32(1e-3)), offset.astype(np.float32)
     level = np.floor(log_weight / scale + offset)
     return cost - scale * (level - offset + 1), level.astype(np.int16)
 
@@ -213,6 +215,8 @@ def _signed(rows: DataFrame, weights) -> DataFrame:
                 lists = pa.ListArray.from_arrays(np.cumsum([0, *sizes], dtype=np.int32), pa.array(flat))
                 columns = [part.column(0), pa.array(keys, pa.binary()), lists, part.column(2)]
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "key", "bands", "note"])
+        # The worker lives on in other stages, which need the memory.
+        _tables.cache_clear()
 
     return rows.mapInArrow(sign, "id bigint, key binary, bands array<bigint>, note string")
 

@@ -36,8 +36,8 @@ END = 0
 CACHE_WORDS = 500_000
 CACHE_CHARS = 64
 ROWS = 512
-# Pieces of one length that are ranked together.
-PART_ROWS = 2_000
+# Pieces of one length that are ranked together, on average, where a length has more.
+PART_ROWS = 20_000
 
 # Characters whose class, case and normal form no version of Unicode will change; an
 # apostrophe may begin a word of its own, and a less-than sign a special token.
@@ -307,10 +307,14 @@ def pack_pieces(pieces: DataFrame, id: str = "doc_id", capacity: int = CAPACITY)
     """
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     places = _places(packing_plan(counts, capacity))
-    parts = sum(counts.values()) // PART_ROWS + 1
     order = [id, "piece", "start", "ids_crc32"]
-    part = F.pmod(F.xxhash64(id, "piece"), F.lit(parts))
-    rows = pieces.select("*", part.alias("_part"))
+    # One row for each length, so at most ``capacity``; only a length with many pieces has
+    # several parts, which keeps the table of ranks at a row per PART_ROWS pieces.
+    parts = [(w, n // PART_ROWS + 1) for w, n in sorted(counts.items())]
+    parts = pieces.sparkSession.createDataFrame(parts, "length bigint, _parts bigint")
+    rows = pieces.join(F.broadcast(parts), "length")
+    part = F.pmod(F.xxhash64(id, "piece"), F.col("_parts"))
+    rows = rows.select(*pieces.columns, part.alias("_part"))
     sizes = rows.groupBy("length", "_part").agg(F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(Window.partitionBy("length").orderBy("_part")) - F.col("_n")
     sizes = materialized(sizes.select("length", "_part", before.alias("_before")))

@@ -94,5 +94,42 @@ def test_repetition_alone_goes(spark):
     assert not any(r.kept for i, r in out.items() if i >= 1000)
 
 
+def test_estimate_decides_by_covariance(spark):
+    """Points between the extremes of every coordinate go if they leave the cloud's axis;
+    against the diagonal of the scatter alone they would stay."""
+    rng = np.random.default_rng(5)
+    axis = rng.normal(0, 1, 400)
+    x = rng.normal(0, 0.3, (400, q.P))
+    x[:, 0], x[:, 4] = axis + rng.normal(0, 0.05, 400), axis + rng.normal(0, 0.05, 400)
+    x[:30, 0], x[:30, 4] = 1.2, -1.2
+    x = np.round(x * q.SCALE).astype(int)
+    rows = spark.createDataFrame([("g", *map(int, r)) for r in x], "group string, " + ", ".join(f"{n} bigint" for n in q.X))
+    p = q.robust_estimates(rows).first()
+    inverse = np.zeros((q.P, q.P))
+    for i, j in q.PAIRS:
+        inverse[i, j] = inverse[j, i] = p[f"c{i}{j}"]
+    off = x / q.SCALE - [p[m] for m in q.M]
+    d = np.einsum("ni,ij,nj->n", off, inverse, off)
+    alone = (off**2 / np.diag(np.linalg.inv(inverse))).sum(axis=1)
+    assert (d[:30] > q.CUTOFF).all() and (d[30:] < q.CUTOFF).all()
+    assert (alone < q.CUTOFF).all()
+    assert 3.5 < np.median(d[30:]) < 5
+    clean = x[30:] / q.SCALE
+    assert np.allclose(np.linalg.inv(inverse), np.cov(clean.T), rtol=0.35, atol=0.1)
+
+
+def test_every_group_has_its_own_estimate(spark):
+    """What is common in one source is an outlier in another."""
+    rng = random.Random(6)
+    word = lambda low, high: "".join(rng.choices("abcdefgh", k=rng.randint(low, high)))
+    text = lambda low, high: " ".join(word(low, high) for _ in range(rng.randint(200, 400)))
+    rows = [(i, text(2, 6), "en", "short") for i in range(150)] + [(1000 + i, text(8, 12), "en", "long") for i in range(150)]
+    rows += [(2000, text(8, 12), "en", "short"), (2001, text(2, 6), "en", "long")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    kept = {r.doc_id: r.kept for r in q.mark_outliers(df).collect()}
+    assert not kept[2000] and not kept[2001]
+    assert sum(not v for i, v in kept.items() if i < 2000) == 0
+
+
 def test_empty(no_docs):
     assert q.mark_outliers(no_docs).count() == 0

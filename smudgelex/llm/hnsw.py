@@ -5,10 +5,11 @@ shard's hierarchy of graphs and stores it as flat arrays of neighbours, one row
 table for each shard. Queries are sent to all shards in blocks, walk the graphs many at
 a time with array operations, and the shards' results are merged.
 
-Nearness is the largest inner product. Vectors get one more coordinate that makes their
-norms equal, so the graphs link true neighbours; scores are computed anew in double
-precision from the original vectors. Equal vectors of a shard are one node that keeps
-its smallest ids, so copies neither crowd the graph nor push each other out.
+Nearness is the largest inner product, in the graphs as in the answers: a node is linked
+to those with which its product is largest, so long vectors, which answer most queries,
+are met from everywhere. Scores are computed anew in double precision from the original
+vectors. Equal vectors of a shard are one node that keeps its smallest ids, so copies
+neither crowd the graph nor push each other out.
 
 Vectors that are null, empty, zero, or hold a null or a non-finite number take no part,
 nor do rows without an id. Vectors meet only vectors of their own length. Rows that
@@ -38,7 +39,8 @@ EF_BUILD = 64
 EF_SEARCH = 256
 # Ids that a node keeps; a search may ask for fewer than these.
 NODE_IDS = 64
-BLOCK = 4096
+# Queries that meet a shard together: a block outweighs the shard that is sent to it.
+BLOCK_BYTES = 32 * 1024 * 1024
 BATCH = 512
 EXPAND = 4
 
@@ -207,18 +209,15 @@ def _rescued(x, links):
     return out
 
 
-def _even(vectors: np.ndarray) -> np.ndarray:
-    """One more coordinate that brings all vectors to the largest norm."""
-    squares = np.einsum("nd,nd->n", vectors, vectors)
-    top = np.sqrt(np.maximum(squares.max(initial=0) - squares, 0))
-    scale = np.sqrt(squares.max(initial=0)) or 1.0
-    return (np.hstack([vectors, top[:, None]]) / scale).astype(np.float32)
+def _scaled(vectors: np.ndarray) -> np.ndarray:
+    """Vectors in single precision with the largest number at 1."""
+    return (vectors / (np.abs(vectors).max(initial=0) or 1.0)).astype(np.float32)
 
 
 def build_graph(vectors: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """Levels from the lowest up: the nodes of a level, and their links as positions."""
     n = len(vectors)
-    x = _even(vectors)
+    x = _scaled(vectors)
     random = np.random.default_rng(n)
     height = np.floor(-np.log(1 - random.random(n)) / np.log(LINKS)).astype(int)
     order = np.argsort(-height, kind="stable")  # a level's nodes are a prefix of it
@@ -304,7 +303,7 @@ class Graph:
         self.vectors = np.frombuffer(row["vectors"], dtype="<f8").reshape(-1, dim)
         self.ends = np.frombuffer(row["id_ends"], dtype="<i8")
         self.ids = np.frombuffer(row["ids"], dtype="<i8")
-        self.x = _even(self.vectors)
+        self.x = _scaled(self.vectors)
         self.levels = [
             (
                 np.frombuffer(nodes, dtype="<i4").astype(np.int64),
@@ -320,7 +319,7 @@ class Graph:
         for at in range(0, len(queries), BATCH):
             own, block = ids[at : at + BATCH], queries[at : at + BATCH]
             norm = np.maximum(np.linalg.norm(block, axis=1, keepdims=True), 1e-300)
-            q = np.hstack([block / norm, np.zeros((len(block), 1))]).astype(np.float32)
+            q = (block / norm).astype(np.float32)
             found, _ = _walk(points, links, q, descend(points, self.levels[1:], q), min(ef, len(points)))
             r, c = np.nonzero(found >= 0)
             node = order[found[r, c]]
@@ -343,7 +342,8 @@ def search_index(
     if k >= NODE_IDS:
         raise ValueError(f"k must be below {NODE_IDS}")
     rows = usable_vectors(queries, id, vector).select(F.size("vector").alias("dim"), "id", "vector").distinct()
-    blocks = rows.count() // BLOCK + 1
+    n, longest = rows.agg(F.count(F.lit(1)), F.coalesce(F.max("dim"), F.lit(1))).first()
+    blocks = n * longest * 8 // BLOCK_BYTES + 1
     block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block")
     # The stated queries meet every shard, a block of them at a time.
     homes = index.select("dim", "shard")

@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from smudgelex.llm import hnsw as h
 
@@ -37,6 +38,31 @@ def test_recall_over_shards(spark, scale):
     assert hits / (75 * 20) >= 0.9
 
 
+def of_kind(kind, n):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(n, 64))
+    if kind == "norms":
+        x *= rng.uniform(0.2, 3, (n, 1))
+    if kind == "clusters":
+        x = rng.normal(size=(200, 64))[rng.integers(0, 200, n)] + 0.1 * x
+    return x
+
+
+@pytest.mark.parametrize("kind", ["normal", "norms", "clusters"])
+def test_recall_of_a_full_shard(kind):
+    n = h.SHARD_ROWS
+    x = of_kind(kind, n)
+    shard = h._build((64, 0), pd.DataFrame({"id": np.arange(n), "vector": list(x)})).iloc[0]
+    graph = h.Graph(shard.rename({"dim": "of_dim"}))
+    queries = np.arange(0, n, 80)
+    found = pd.concat(graph.search(queries, x[queries], 20, h.EF_SEARCH)).groupby("query_id")["vec_id"].agg(set)
+    products = x[queries] @ x.T
+    products[np.arange(len(queries)), queries] = -np.inf
+    want = np.argsort(-products, axis=1)[:, :20]
+    hits = sum(len(found[q] & set(w.tolist())) for q, w in zip(queries.tolist(), want, strict=True))
+    assert hits / want.size >= 0.95
+
+
 def test_odd_vectors_copies_and_ties(spark):
     nan, inf = float("nan"), float("inf")
     odd = [(900, None), (901, []), (902, [0.0, 0.0]), (903, [1.0, None]), (904, [nan, 1.0]), (905, [inf, 1.0]), (None, [1.0, 1.0])]

@@ -136,11 +136,22 @@ class Merges:
         return out
 
 
-@lru_cache(maxsize=2)
-def merges_of(path: str) -> Merges:
+def _ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
         pairs = (line.split() for line in lines if line.strip())
-        return Merges({base64.b64decode(token): int(rank) for token, rank in pairs})
+        return {base64.b64decode(token): int(rank) for token, rank in pairs}
+
+
+@lru_cache(maxsize=2)
+def merges_of(path: str) -> Merges:
+    return Merges(_ranks(path))
+
+
+@lru_cache(maxsize=2)
+def spelling_of(path: str) -> list[bytes]:
+    """The bytes of every id, none for an id that the vocabulary leaves out."""
+    tokens = {rank: token for token, rank in _ranks(path).items()}
+    return [tokens.get(i, b"") for i in range(max(tokens) + 1)]
 
 
 class _Pieces(dict):
@@ -201,8 +212,7 @@ def decode_ids(df: DataFrame, id: str = "doc_id", ids: str = "ids", path: str |
     rows = df.select(F.col(id).alias("id"), F.coalesce(F.col(ids), F.array().cast("array<int>")).alias("ids"))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = merges_of(path).tokens
-        token = [tokens.get(i, b"") for i in range(max(tokens) + 1)].__getitem__
+        token = spelling_of(path).__getitem__
         for batch in batches:
             for start in range(0, batch.num_rows, ROWS):
                 part = batch.slice(start, ROWS)

@@ -19,6 +19,9 @@ __all__ = ["fitted", "joined", "let", "materialized", "ship", "slices", "table"]
 
 # A side is broadcast only while its measured size stays below this.
 BROADCAST_BYTES = 32 * 1024 * 1024
+# Keys that a join spreads, and keys that the sketch which finds them keeps count of.
+HEAVY_KEYS = 1000
+TRACKED_KEYS = 8192
 # Text that a fit may see.
 SAMPLE_BYTES = 48 * 1024 * 1024
 
@@ -59,8 +62,9 @@ def joined(
 ) -> DataFrame:
     """Equi-join a large table with a finished one that has one row per key.
 
-    The right side is measured: it is broadcast when it fits, and otherwise repeated
-    per salt, so that a key with much of the left side is spread over ``salts`` tasks.
+    The right side is measured and broadcast when it fits. Otherwise a sketch of bounded
+    size finds the ``HEAVY_KEYS`` most frequent keys of the left side, in a pass over its
+    keys: their rows are spread over ``salts`` tasks and only their right rows repeated.
     Null keys match null keys.
     """
     width = 16 + 8 * len(right.columns)
@@ -76,9 +80,13 @@ def joined(
         match = match & F.col(k).eqNullSafe(F.col(other))
     if size <= limit:
         return left.join(F.broadcast(right), match, how).drop(*names.values())
-    place = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
-    left = left.withColumn("_salt", F.pmod(place, F.lit(salts)).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt_r")
+    hashed = left.select(F.xxhash64(*keys).alias("_hash"))
+    top = hashed.agg(F.expr(f"approx_top_k(_hash, {HEAVY_KEYS}, {TRACKED_KEYS})").alias("top")).first()["top"]
+    heavy = [r["item"] for r in top or []]
+    place = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts)).cast("int")
+    left = left.withColumn("_salt", F.when(F.xxhash64(*keys).isin(heavy), place).otherwise(0))
+    every = F.when(F.xxhash64(*names.values()).isin(heavy), F.sequence(F.lit(0), F.lit(salts - 1)))
+    every = F.explode(F.coalesce(every, F.array(F.lit(0)))).alias("_salt_r")
     match = match & (F.col("_salt") == F.col("_salt_r"))
     out = left.join(right.select("*", every), match, how)
     return out.drop("_salt", "_salt_r", *names.values())

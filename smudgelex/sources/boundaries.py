@@ -14,7 +14,8 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 # A comment, a tag that is cut off by another one, and the tags that matter here.
-_EVENT = re.compile(rb"<![^>]*>|<[^\s<>!][^\s<>]{0,255}<[^\s>]{0,255}>|(<DOC>)|(</DOC>)|(</DOCNO>)")
+# All begin with the same byte, which the search then skips to.
+_EVENT = re.compile(rb"<(?:![^>]*>|[^\s<>!][^\s<>]{0,255}<[^\s>]{0,255}>|(DOC>)|(/DOC>)|(/DOCNO>))")
 _TAG = len(b"</DOCNO>")
 # A tag without an end is followed over so many bytes.
 _TAIL = 1024

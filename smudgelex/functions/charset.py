@@ -55,6 +55,7 @@ HARD = "\ue001"  # the word before ends without a numeric check
 START_TAG = "\ue002"
 END_TAG = "\ue003"
 SYMBOL = "\ue004"
+FINAL = "\ue005"  # stands for the end sentinel
 ENTITY_MARKS = {name: chr(0xE010 + i) for i, name in enumerate(KEPT_ENTITIES)}
 MARKS = "\ue000-\ue01f"
 

@@ -102,7 +102,14 @@ def without_tags(text: Column, markup: str, mark: str, keep: bool = False) -> Co
         )
         return F.concat(tagged, broken, F.replace(rest, F.lit("<"), F.lit(mark)))
 
-    return F.element_at(F.transform(F.array(text), cut), 1)
+    def behind(x: Column) -> Column:
+        # What stands before the first ``<`` is in no tag, and most of a text does.
+        before = F.substring_index(x, "<", 1)
+        rest = F.substring(x, F.length(before) + 1, F.length(x))
+        done = F.concat(before, F.element_at(F.transform(F.array(rest), cut), 1))
+        return F.when(F.contains(x, F.lit("<")), done).otherwise(x)
+
+    return F.element_at(F.transform(F.array(text), behind), 1)
 
 
 def _decoded(text: Column) -> Column:
@@ -113,7 +120,9 @@ def _decoded(text: Column) -> Column:
 
 
 def _prepared(text: Column, markup: str, tags: bool) -> Column:
-    out = F.regexp_replace(F.coalesce(text, F.lit("")), _BLANKED, " ")
+    # Line ends are most of what is blanked, and need no pattern.
+    lines = F.replace(F.coalesce(text, F.lit("")), F.lit("\n"), F.lit(" "))
+    out = F.regexp_replace(lines, _BLANKED, " ")
     if markup != "none":
         ampersand = F.contains(text, F.lit("&"))
         out = F.when(ampersand, _decoded(out)).otherwise(out)
@@ -177,8 +186,17 @@ def _rewritten(lexeme: Column, markup: str, numeric: str, tags: bool) -> Column:
     return out.otherwise(_rewritten_run(lexeme, numeric))
 
 
-def _rewritten_text(text: Column, markup: str, numeric: str, tags: bool) -> Column:
-    """The tokens of a text, blanks between them and a mark at each phrase end."""
+def prepared(text: Column | str, markup: str = "none", tags: bool = False) -> Column:
+    """A text behind the passes that do not depend on how numbers are read."""
+    check_options(markup, tags=tags)
+    return _prepared(F.col(text) if isinstance(text, str) else text, markup, tags)
+
+
+def rewritten(
+    prepared: Column, markup: str = "none", numeric: str = "drop", tags: bool = False
+) -> Column:
+    """The tokens of a prepared text, blanks between them and a mark at each phrase end."""
+    check_options(markup, numeric, tags)
     pattern = F.lit(_lexeme_pattern(markup, tags))
 
     def piece(p: Column) -> Column:
@@ -187,11 +205,19 @@ def _rewritten_text(text: Column, markup: str, numeric: str, tags: bool) -> Colu
         plain = F.rlike(p, F.lit(_PLAIN_PIECE))
         return F.when(plain, p).otherwise(F.array_join(parts, " "))
 
-    prepared = _prepared(text, markup, tags)
     pieces = F.transform(F.split(prepared, c.BREAK), piece)
     return F.array_join(pieces, c.BREAK)
 
 
+def rewritten_text(text: Column | str, markup: str, numeric: str, tags: bool) -> Column:
+    """``rewritten`` of a text that is not prepared."""
+    return _rewritten_of(text, markup, numeric, tags)
+
+
+def _rewritten_text(text: Column, markup: str, numeric: str, tags: bool) -> Column:
+    return rewritten(_prepared(text, markup, tags), markup, numeric, tags)
+
+
 @lru_cache(maxsize=128)
 def _rewritten_column(
     application: str, text: str, markup: str, numeric: str, tags: bool
@@ -233,6 +259,49 @@ def word_array(
     return F.array_remove(F.split(rewritten, f"[ {c.BREAK}{c.SYMBOL}]+"), "")
 
 
+def marked_words(rewritten: Column, final: bool = False) -> Column:
+    """``array<string>`` of all tokens of a rewritten text, type marks still in front:
+    two are the same if and only if type and text are."""
+    words = piece_tokens(F.replace(rewritten, F.lit(c.BREAK), F.lit(" ")))
+    return F.concat(words, F.array(F.lit(c.FINAL))) if final else words
+
+
+def word_phrases(rewritten: Column) -> Column:
+    """``array<int>``: the phrase of each of ``marked_words``."""
+
+    def of_piece(piece: Column, i: Column) -> Column:
+        return F.array_repeat(i, F.size(piece_tokens(piece)))
+
+    return F.flatten(F.transform(F.split(rewritten, c.BREAK), of_piece))
+
+
+def marked_token(marked: Column, typed: bool = True) -> tuple[Column, Column]:
+    """Text and type of a token whose type mark stands in front; of null, two nulls.
+    Without ``typed`` there are no marks but the sentinel's."""
+    kinds = {c.START_TAG: "XMLSTART", c.END_TAG: "XMLEND", c.SYMBOL: "SYMBOL"} if typed else {}
+    mark = F.substring(marked, 1, 1)
+    kind = F.when(mark == c.FINAL, "NULL")
+    for sign, name in kinds.items():
+        kind = kind.when(mark == sign, name)
+    kind = kind.when(marked.isNotNull(), "TEXT")
+    name = F.substring(marked, F.lit(2), F.length(marked))
+    return F.when(mark.isin(c.FINAL, *kinds), name).otherwise(marked), kind
+
+
+def token_columns(
+    marked: Column, phrase: Column, markup: str = "none", final: bool = False
+) -> list[Column]:
+    """``token, type, phrase_id[, is_final]`` of one of ``marked_words``."""
+    if markup == "none" and not final:
+        return [marked.alias("token"), F.lit("TEXT").alias("type"), phrase.alias("phrase_id")]
+    token, kind = marked_token(marked, markup != "none")
+    phrase = F.when(kind == "TEXT", phrase).otherwise(0)
+    fields = [token.alias("token"), kind.alias("type"), phrase.alias("phrase_id")]
+    if final:
+        fields.append((kind == "NULL").alias("is_final"))
+    return fields
+
+
 def _text_token(token: Column, phrase: Column, final: bool) -> Column:
     fields = [token.alias("token"), F.lit("TEXT").alias("type")]
     fields.append(phrase.alias("phrase_id"))

@@ -33,9 +33,18 @@ def tokenize(
     ``with_tags`` adds XMLSTART and XMLEND rows, ``with_final`` the end sentinel.
     """
     ids = id_columns(id)
-    tokens = t.token_array(text, markup, numeric, with_tags, with_final)
-    rows = spread(df.select(*ids, text)).select(*ids, F.posexplode(tokens))
-    return rows.select(*ids, (F.col("pos") + 1).alias("position"), "col.*")
+    # Arrays of words and of their phrases are columns of their own, so that rows are made
+    # of them in compiled code and without a struct for each token. An inner generator of
+    # a column would be filtered by its size, which computes the text twice.
+    read = t.rewritten_text(text, markup, numeric, with_tags).alias("_read")
+    rows = spread(df.select(*ids, text)).select(*ids, read)
+    words = t.marked_words(F.col("_read"), with_final).alias("_words")
+    rows = rows.select(*ids, words, t.word_phrases(F.col("_read")).alias("_phrases"))
+    rows = rows.select(*ids, "_phrases", F.posexplode_outer("_words").alias("_pos", "_word"))
+    rows = rows.where(F.col("_pos").isNotNull())
+    phrase = F.get("_phrases", F.col("_pos"))
+    fields = t.token_columns(F.col("_word"), phrase, markup, with_final)
+    return rows.select(*ids, (F.col("_pos") + 1).alias("position"), *fields)
 
 
 def phrases(

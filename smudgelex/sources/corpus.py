@@ -64,8 +64,12 @@ def _plain_markup(value: Column | str) -> Column:
         tagged = F.regexp_replace(tagged, r"<[^\s<>!][^\s<>]{0,255}<[^\s>]{0,255}>", "<!>")
         return F.concat(tagged, F.substring_index(x, ">", -1))
 
+    def guarded(x: Column) -> Column:
+        # Most texts hold neither, which one search tells.
+        return F.when(F.rlike(x, F.lit(r"<(?:!|[^\s<>!][^\s<>]{0,255}<)")), cut(x)).otherwise(x)
+
     value = F.col(value) if isinstance(value, str) else value
-    return F.get(F.transform(F.array(value), cut), F.lit(0))
+    return F.get(F.transform(F.array(value), guarded), F.lit(0))
 
 
 def _rejoined(rows: DataFrame) -> DataFrame:
@@ -75,14 +79,22 @@ def _rejoined(rows: DataFrame) -> DataFrame:
     one left a document open. Only rows that are odd in this way are moved; they are
     put in order by file.
     """
-    plain = _plain_markup("value")
-    rows = rows.select("*", plain.alias("_plain"))
-    ended = F.contains("_plain", F.lit(_END))
-    tail = F.substring_index("_plain", _END, -1)
-    opened = F.contains(tail, F.lit("<DOCNO>")) | F.contains(tail, F.lit("<TEXT>"))
-    goes_on = ~F.contains(F.substring_index("_plain", _END, 1), F.lit("</DOCNO>"))
-    rows = rows.select("*", (opened | (goes_on & ~ended)).alias("_open"), goes_on.alias("_goes_on"))
-    odd = F.col("_open") | F.col("_goes_on")
+    # As one value, since a filter computes what it tests anew wherever it is named.
+    def state(plain: Column) -> Column:
+        ended = F.contains(plain, F.lit(_END))
+        tail = F.substring_index(plain, _END, -1)
+        opened = F.contains(tail, F.lit("<DOCNO>")) | F.contains(tail, F.lit("<TEXT>"))
+        goes_on = ~F.contains(F.substring_index(plain, _END, 1), F.lit("</DOCNO>"))
+        return F.when(goes_on, F.when(opened | ~ended, "both").otherwise("goes on")).when(opened, "open").otherwise("sound")
+
+    state_of = F.get(F.transform(F.array(_plain_markup("value")), state), F.lit(0))
+    rows = rows.select("*", state_of.alias("_state"))
+    odd = F.col("_state") != "sound"
+    rows = rows.select(
+        "*",
+        F.col("_state").isin("open", "both").alias("_open"),
+        F.col("_state").isin("goes on", "both").alias("_goes_on"),
+    )
     place = Window.partitionBy("source").orderBy("_block", "_row")
     before = lambda c: F.lag(c).over(place)
     follows = F.when(
@@ -113,7 +125,9 @@ def extract_documents(rows: DataFrame) -> DataFrame:
     kept = [c for c in rows.columns if c not in ("value", "source")]
     rows = rows.select("source", *kept, F.split(_plain_markup("value"), _END).alias("_pieces"))
     last = F.size("_pieces") - 1
-    docs = rows.select("source", *kept, F.posexplode("_pieces").alias("_piece", "body"), last.alias("_last"))
+    # An inner generator of a column would be filtered by its size, which cuts the text twice.
+    pieces = F.posexplode_outer("_pieces").alias("_piece", "body")
+    docs = rows.select("source", *kept, pieces, last.alias("_last"))
     unclosed = F.col("_piece") == F.col("_last")
     begun = F.contains("body", F.lit("<DOCNO>")) | F.contains("body", F.lit("<TEXT>"))
     docs = docs.where(~unclosed | begun)

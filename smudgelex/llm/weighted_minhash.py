@@ -14,11 +14,16 @@ task.
 
 Equal word sequences count as one text. A band's bucket is never expanded into pairs:
 its members are compared with the bucket's first, then, as far as they are still in
-different classes, with its last. In the end members of mixed buckets are compared across
-classes, if they can reach the similarity at all: their total weights are in that ratio,
-and among the rarest runs of each, of a weight that similar texts cannot differ in, one
-is shared. Both are necessary, so no link is lost; pairs that pass and are not linked
-grow with the square of a family. Classes are the connected components of the links.
+different classes, with its last. In the end the members of buckets with the same first
+are a group, and all pairs of a group and of different classes are settled by how they
+differ from the group's middle, the runs that most of a few members hold. Two texts
+reach the similarity exactly if their excesses (the weight they differ in from the
+middle, less a share of their weight) are together at most twice the weight of the
+differences that both have. Without any in common, both reach it with the member of
+least excess: one comparison for each member. All others have to share a part of their
+differences, which are few and seldom the same; only pairs with a common element among
+the first, rare ones are verified. The middle is no estimate of anything in the result:
+any set gives the same links. Classes are the connected components of the links.
 
 Words are split at white space, ASCII capitals count as small letters. A text of fewer
 than five words has one run, all of it. Null and empty texts have none and are classes
@@ -35,7 +40,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from smudgelex.llm.common import joined, materialized, slices, table
@@ -55,6 +60,10 @@ ROWS = 1024
 PART_BYTES = 1 << 20
 RANGE_CHARS = 4_000_000
 BLOCK = 8192
+# Members that the middle of a group is made of; it may be any set.
+MIDDLE = 64
+# Part of a weight that sums may be off by.
+SLACK = 1e-5
 
 
 def shingles_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
@@ -230,42 +239,137 @@ def prefix_of(runs: np.ndarray, weights: np.ndarray, each: np.ndarray, least: fl
     return runs[order[: np.searchsorted(so_far, spare, side="right") + 1]]
 
 
-def _prefixes(texts: DataFrame, weights, least: float) -> DataFrame:
-    """``(id, total, run)`` for the runs of the prefix of each text."""
+def middle_of(sets: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, ...]:
+    """Of all runs that two sets hold: the weight that more than half of the sets reach,
+    and the number of sets that hold them."""
+    runs, weights = (np.concatenate(x) for x in zip(*sets, strict=True))
+    order = np.lexsort((-weights, runs))
+    runs, weights = runs[order], weights[order]
+    first = np.flatnonzero(np.r_[True, runs[1:] != runs[:-1]][: len(runs)])
+    held = np.diff(np.r_[first, len(runs)])
+    half = len(sets) // 2
+    weight = np.where(held > half, weights[np.minimum(first + half, len(runs) - 1)], np.float32(0))
+    keep = held > 1
+    return runs[first[keep]], weight[keep], held[keep].astype(np.uint8)
+
+
+def difference(runs: np.ndarray, weights: np.ndarray, middle: tuple[np.ndarray, ...], sets: int) -> tuple[np.ndarray, ...]:
+    """Where a text has more or less weight than the middle: sorted numbers of run and
+    sign, by how much, and how many of the middle's ``sets`` differ in the same way."""
+    every = np.union1d(runs, middle[0])
+    more, seen = np.zeros(len(every)), np.zeros(len(every), dtype=np.int64)
+    more[np.searchsorted(every, runs)] = weights
+    at = np.searchsorted(every, middle[0])
+    more[at] -= middle[1]
+    seen[at] = middle[2]
+    apart = np.flatnonzero(more)
+    less = more[apart] < 0
+    elements = every[apart] ^ (less.astype(np.uint64) << np.uint64(63))
+    order = np.argsort(elements)
+    seen = np.where(less, sets - seen[apart], seen[apart])
+    return elements[order], np.abs(more[apart])[order], seen[order]
+
+
+def _middles(members: DataFrame, texts: DataFrame, weights) -> DataFrame:
+    """``(low, runs, own, seen, sets)``: the middle of ``MIDDLE`` members of a group."""
+    order = Window.partitionBy("low").orderBy(F.xxhash64("id"), "id")
+    some = members.select("low", "id", F.row_number().over(order).alias("place")).where(F.col("place") <= MIDDLE)
+    some = some.select("low", "id").join(texts, "id")
+
+    def middle(group: pa.Table) -> pa.Table:
+        runs, counts, doc, _ = shingles_of(group.column("text").to_pylist())
+        own = weights.value.of(runs, counts)
+        ends = np.searchsorted(doc, np.arange(group.num_rows + 1))
+        found = middle_of([(runs[a:b], own[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)])
+        blobs = [pa.array([x.tobytes()], pa.binary()) for x in found]
+        columns = [group.column("low").slice(0, 1).combine_chunks(), *blobs, pa.array([group.num_rows], pa.int64())]
+        return pa.Table.from_arrays(columns, names=["low", "runs", "own", "seen", "sets"])
+
+    return some.groupBy("low").applyInArrow(middle, "low bigint, runs binary, own binary, seen binary, sets bigint")
+
+
+def _differences(members: DataFrame, texts: DataFrame, weights, least: float) -> DataFrame:
+    """``(low, id, total, size, elements, rest)`` for each member of a group: its weight,
+    the weight it differs in from the group's middle, the first elements of that
+    difference, rare ones first, and the weight from each on.
+
+    Texts that reach ``least`` differ by at most ``1 / least - 1`` of either's weight from
+    each other, so they share all of their differences but that, and an element of the
+    first ones.
+    """
+    middles = materialized(_middles(members, texts, weights))
+    both = members.select("low", "id").join(texts, "id")
+    both = joined(both, middles, ["low"], "inner").select("low", "id", "text", "runs", "own", "seen", "sets")
 
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = weights.value
         for batch in batches:
-            for part in slices(batch, 1, ROWS, PART_BYTES):
-                runs, counts, doc, _ = shingles_of(_texts(part, 1))
-                own, each = w.of(runs, counts), w.of(runs, np.ones(len(runs), dtype=np.int64))
+            for part in slices(batch, 2, ROWS // 4, PART_BYTES // 2):
+                runs, counts, doc, _ = shingles_of(_texts(part, 2))
+                own = w.of(runs, counts)
                 ends = np.searchsorted(doc, np.arange(part.num_rows + 1))
-                bounds = list(zip(ends[:-1], ends[1:], strict=True))
-                kept = [prefix_of(runs[a:b], own[a:b], each[a:b], least).view(np.int64) for a, b in bounds]
-                lists = pa.ListArray.from_arrays(np.cumsum([0, *map(len, kept)], dtype=np.int32), pa.array(np.concatenate([*kept, np.zeros(0, np.int64)])))
-                total = pa.array([float(own[a:b].sum(dtype=float)) for a, b in bounds])
-                yield pa.RecordBatch.from_arrays([part.column(0), total, lists], names=["id", "total", "runs"])
-
-    found = texts.mapInArrow(first, "id bigint, total double, runs array<bigint>")
-    return found.select("id", "total", F.explode("runs").alias("run"))
-
-
-def _unlinked_pairs(mine: DataFrame, rows: DataFrame, weights, least: float) -> DataFrame:
-    """``(a, b)``: all pairs of texts of different classes that can reach ``least``.
-
-    ``mine`` has the ``id`` and ``id_class`` of the texts to be compared. Two texts that
-    reach it have totals in that ratio and a run of their prefixes in common.
+                totals, sizes, kept, rest = [], [], [], []
+                middles = zip(*[part.column(k).to_pylist() for k in range(3, 7)], strict=True)
+                for a, b, (x, y, z, sets) in zip(ends[:-1], ends[1:], middles, strict=True):
+                    middle = np.frombuffer(x, np.uint64), np.frombuffer(y, np.float32), np.frombuffer(z, np.uint8)
+                    elements, by, seen = difference(runs[a:b], own[a:b], middle, sets)
+                    totals.append(float(own[a:b].sum(dtype=float)))
+                    sizes.append(float(by.sum()))
+                    part_of = 1.0 - (1.0 / least - 1.0 + SLACK) * totals[-1] / max(sizes[-1], 1e-9)
+                    kept.append(prefix_of(elements, by, -seen, part_of))
+                    first = by[np.searchsorted(elements, kept[-1])]
+                    rest.append((sizes[-1] - np.cumsum(first) + first).astype(np.float32))
+                at = np.cumsum([0, *map(len, kept)], dtype=np.int32)
+                flat = [np.concatenate([*x, np.zeros(0, kind)]) for x, kind in ((kept, np.uint64), (rest, np.float32))]
+                lists = [pa.ListArray.from_arrays(at, pa.array(x)) for x in (flat[0].view(np.int64), flat[1])]
+                columns = [part.column(0), part.column(1), pa.array(totals, pa.float64()), pa.array(sizes, pa.float64()), *lists]
+                yield pa.RecordBatch.from_arrays(columns, names=["low", "id", "total", "size", "elements", "rest"])
+
+    schema = "low bigint, id bigint, total double, size double, elements array<bigint>, rest array<float>"
+    found = materialized(both.mapInArrow(differ, schema))
+    # Two texts reach ``least`` if their excesses are at most twice what they share of
+    # their differences.
+    return found.withColumn("excess", F.col("size") - (1.0 - least) / (1.0 + least) * F.col("total"))
+
+
+def _nearest_middle(differences: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(a, b)``: in each group the member of least excess with all that reach the
+    similarity without a difference in common. Two others that do so both reach it."""
+    least = differences.groupBy("low").agg(F.min(F.struct("excess", "id")).alias("one"))
+    least = materialized(least.select("low", F.col("one.id").alias("a"), F.col("one.excess").alias("a_excess")))
+    pairs = joined(differences.select("low", "id", "excess", "total"), least, ["low"], "inner")
+    pairs = pairs.where((F.col("id") != F.col("a")) & (F.col("excess") + F.col("a_excess") <= SLACK * F.col("total")))
+    pairs = pairs.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
+    return _across(pairs, labels)
+
+
+def _alike_differences(differences: DataFrame, labels: DataFrame, least: float) -> DataFrame:
+    """``(a, b)``: all pairs of a group and of different classes that can share so much
+    of their differences that they reach ``least``.
+
+    What a member has to share at least follows from the least excess in other classes.
+    Of a pair, the first element that both have leaves enough on both sides.
     """
-    needed = joined(rows.select("id", "text"), mine.select("id"), ["id"], "inner")
-    needed = needed.groupBy("id").agg(F.min("text").alias("text"))
-    first = materialized(_prefixes(needed, weights, least).join(mine, "id"))
-    mixed = first.groupBy("run").agg(F.min("id_class").alias("x"), F.max("id_class").alias("y"))
-    first = materialized(first.join(mixed.where("x != y").select("run"), "run"))
-    left = first.withColumnsRenamed({"id": "a", "id_class": "a_class", "total": "a_total"})
-    right = first.withColumnsRenamed({"id": "b", "id_class": "b_class", "total": "b_total"})
-    near = F.least("a_total", "b_total") >= (least - 1e-6) * F.greatest("a_total", "b_total")
-    pairs = left.join(right, "run").where((F.col("a") < F.col("b")) & (F.col("a_class") != F.col("b_class")) & near)
-    return pairs.select("a", "b").distinct()
+    rows = _classed(differences, "id", labels)
+    by_class = materialized(rows.groupBy("low", "id_class").agg(F.min("excess").alias("e")))
+    one = materialized(by_class.groupBy("low").agg(F.min(F.struct("e", "id_class")).alias("one")).select("low", F.col("one.e").alias("e_one"), F.col("one.id_class").alias("c_one")))
+    other = by_class.join(one, "low").where("id_class != c_one").groupBy("low").agg(F.min("e").alias("e_other"))
+    bounds = materialized(one.join(other, "low"))
+    rows = joined(rows, bounds, ["low"], "inner")
+    nearest = F.when(F.col("id_class") == F.col("c_one"), F.col("e_other")).otherwise(F.col("e_one"))
+    spare = SLACK * F.col("total")
+    rows = rows.withColumn("need", (F.col("excess") + nearest) / 2 - spare)
+    rows = rows.where("size >= need").select("low", "id", "id_class", "total", "excess", "need", F.explode(F.arrays_zip("elements", "rest")).alias("at"))
+    rows = rows.where("at.rest >= need").select("low", "id", "id_class", "total", "excess", F.col("at.elements").alias("element"), F.col("at.rest").alias("rest"))
+    rows = materialized(rows)
+    mixed = rows.groupBy("low", "element").agg(F.min("id_class").alias("x"), F.max("id_class").alias("y"))
+    rows = materialized(rows.join(mixed.where("x != y").select("low", "element"), ["low", "element"]))
+    names = ("id", "id_class", "total", "excess", "rest")
+    left, right = (rows.withColumnsRenamed({x: x.replace("id", to) if x.startswith("id") else f"{to}_{x}" for x in names}) for to in "ab")
+    near = F.least("a_total", "b_total") >= (least - SLACK) * F.greatest("a_total", "b_total")
+    shared = F.least("a_rest", "b_rest") >= (F.col("a_excess") + F.col("b_excess")) / 2 - SLACK * F.least("a_total", "b_total")
+    apart = (F.col("a") < F.col("b")) & (F.col("a_class") != F.col("b_class"))
+    return left.join(right, ["low", "element"]).where(apart & near & shared).select("a", "b").distinct()
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, weights, least: float) -> DataFrame:
@@ -303,6 +407,11 @@ def _classed(rows: DataFrame, column: str, labels: DataFrame) -> DataFrame:
     return out.withColumn(f"{column}_class", F.coalesce("label", column)).drop("label")
 
 
+def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs ``(a, b)`` of different classes."""
+    return _classed(_classed(pairs, "a", labels), "b", labels).where("a_class != b_class").select("a", "b")
+
+
 def near_duplicate_classes(
     df: DataFrame, id: str = "doc_id", text: str = "text", least: float = SIMILARITY, note: str | None = None
 ) -> DataFrame:
@@ -340,17 +449,22 @@ def near_duplicate_classes(
     tried = pairs.select("a", "b")
     rest = named.select(F.col("low").alias("a"), F.col("id").alias("b")).join(tried, ["a", "b"], "left_anti")
     last = held.where("id != high").select(F.least("id", "high").alias("a"), F.greatest("id", "high").alias("b"))
-    for more in (rest, last.distinct(), None):
-        if more is None:
-            # Members of different classes, some bucket of theirs being mixed.
-            mine = _classed(held.select("band", "h", "id"), "id", labels)
-            mixed = mine.groupBy("band", "h").agg(F.min("id_class").alias("x"), F.max("id_class").alias("y"))
-            mine = mine.join(mixed.where("x != y").select("band", "h"), ["band", "h"])
-            mine = materialized(mine.groupBy("id").agg(F.first("id_class").alias("id_class")))
-            more = _unlinked_pairs(mine, rows, weights, least)
-            more = more.join(done, ["a", "b"], "left_anti")
+    differences = None
+    for step in range(4):
+        if step < 2:
+            more = _across((rest, last.distinct())[step], labels)
+        elif step == 2:
+            # Groups have a leader in common; whoever is in a bucket is in its leader's.
+            mine = _classed(named.select("low", "id"), "id", labels)
+            mixed = mine.groupBy("low").agg(F.min("id_class").alias("x"), F.max("id_class").alias("y"))
+            mine = materialized(mine.join(mixed.where("x != y").select("low"), "low").select("low", "id"))
+            ids = materialized(mine.select("id").distinct())
+            texts = joined(rows.select("id", "text"), ids, ["id"], "inner")
+            texts = materialized(texts.groupBy("id").agg(F.min("text").alias("text")))
+            differences = _differences(mine, texts, weights, least)
+            more = _nearest_middle(differences, labels).join(done, ["a", "b"], "left_anti")
         else:
-            more = _classed(_classed(more, "a", labels), "b", labels).where("a_class != b_class").select("a", "b")
+            more = _alike_differences(differences, labels, least).join(done, ["a", "b"], "left_anti")
         more = materialized(more)
         done = materialized(tried.union(more).distinct())
         tried = done

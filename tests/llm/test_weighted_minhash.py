@@ -91,3 +91,55 @@ def test_similar_texts_share_a_run_of_their_prefixes():
                 first = [set(m.prefix_of(r, w, e, least).tolist()) for r, w, e in sides]
                 assert first[0] & first[1]
         assert near > 20
+
+
+def test_differences_tell_what_reaches_the_similarity():
+    rng = np.random.default_rng(7)
+    for least in (0.5, 0.8, 0.95):
+        near = 0
+        for _ in range(150):
+            runs = np.sort(rng.choice(2**62, 80, False)).astype(np.uint64)
+            sets = []
+            for _ in range(6):
+                keep = np.sort(np.r_[runs[rng.random(80) < rng.uniform(least, 1)], rng.integers(0, 2**62, rng.integers(0, 4)).astype(np.uint64)])
+                sets.append((keep, (rng.choice([1.0, 2.0, 5.5], len(keep)) if rng.random() < 0.1 else np.full(len(keep), 2.0)).astype(np.float32)))
+            middle = m.middle_of(sets[: rng.integers(1, 7)])
+            (a, wa, sa), (b, wb, sb) = (m.difference(*s, middle, 6) for s in sets[:2])
+            _, x, y = np.intersect1d(a, b, return_indices=True)
+            assert (sa[x] == sb[y]).all()
+            both = np.minimum(wa[x], wb[y]).sum()
+            totals = [s[1].sum(dtype=float) for s in sets[:2]]
+            apart = wa.sum() + wb.sum() - 2 * both
+            like = m.similarity(*sets[:2])
+            assert abs(like - (sum(totals) - apart) / (sum(totals) + apart)) < 1e-6
+            excess = [w.sum() - (1 - least) / (1 + least) * t for w, t in zip((wa, wb), totals, strict=True)]
+            if abs(like - least) > 1e-6:
+                assert (like > least) == (sum(excess) < 2 * both)
+            if like >= least:
+                near += 1
+                assert all(both >= w.sum() - (1 / least - 1) * t - 1e-6 for w, t in zip((wa, wb), totals, strict=True))
+        assert near > 20
+
+
+def test_pairs_verified_do_not_grow_with_the_square_of_a_family(spark, monkeypatch):
+    rng = random.Random(3)
+    base = sentence(rng, 400).split()
+    rows = []
+    for i in range(120):  # few edits reach each other, more edits reach none
+        copy = list(base)
+        for at in rng.sample(range(400), 1 if i % 6 == 0 else 3):
+            copy[at] = "w" + str(rng.random())
+        rows.append((i, " ".join(copy)))
+    rows += [(1000 + i, sentence(rng, 60)) for i in range(20)]
+    counts, verified = [], m._verified
+
+    def counting(pairs, *others):
+        counts.append(pairs.count())
+        return verified(pairs, *others)
+
+    monkeypatch.setattr(m, "_verified", counting)
+    out = m.near_duplicate_classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert Counter((r.doc_id, r.class_id) for r in out) == classes(rows)
+    assert 1 < len({r.class_id for r in out if r.doc_id < 1000}) < 120
+    # 6,557 pairs of the third step on before groups had a middle.
+    assert sum(counts[2:]) <= len(rows) * m.BANDS and sum(counts[3:]) <= 2 * len(rows)

@@ -55,6 +55,7 @@ SAMPLES = BANDS * BAND_ROWS
 RARE = 1000
 # Rows of the table of random numbers; runs share a row by their hash.
 RANDOM_ROWS = 1 << 16
+TABLE_ROWS = 1 << 12
 # Texts that are cut into runs at once, and their bytes.
 ROWS = 1024
 PART_BYTES = 1 << 20
@@ -146,12 +147,23 @@ class Weights:
 def _tables(base: float) -> tuple[np.ndarray, ...]:
     """Scale, offset and log cost of the sampling, and what they give for weight ``base``."""
     random = np.random.default_rng(99)
-    shape = (RANDOM_ROWS, SAMPLES)
+    starts = range(0, RANDOM_ROWS, TABLE_ROWS)
+
+    def drawn(numbers, kind) -> np.ndarray:
+        """A table filled in parts, so that full precision is held for a part alone."""
+        out = np.empty((RANDOM_ROWS, SAMPLES), dtype=kind)
+        for start in starts:
+            out[start : start + TABLE_ROWS] = numbers(start)
+        return out
+
+    shape = (TABLE_ROWS, SAMPLES)
     # Half precision is enough for numbers that only have to be random.
-    scale = random.gamma(2.0, 1.0, shape).astype(np.float16)
-    offset = random.random(shape, dtype=np.float32).astype(np.float16)
-    cost = np.log(random.gamma(2.0, 1.0, shape)).astype(np.float16)
-    return scale, offset, cost, *_sampled(np.float32(np.log(base)), scale, offset, cost)
+    scale = drawn(lambda _: random.gamma(2.0, 1.0, shape), np.float16)
+    offset = drawn(lambda _: random.random(shape, dtype=np.float32), np.float16)
+    cost = drawn(lambda _: np.log(random.gamma(2.0, 1.0, shape)), np.float16)
+    log_base = np.float32(np.log(base))
+    parts = lambda k: lambda at: _sampled(log_base, *(x[at : at + TABLE_ROWS] for x in (scale, offset, cost)))[k]
+    return scale, offset, cost, drawn(parts(0), np.float32), drawn(parts(1), np.int16)
 
 
 def _sampled(log_weight, scale, offset, cost):

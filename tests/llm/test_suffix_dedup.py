@@ -1,7 +1,9 @@
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from smudgelex.llm import suffix_dedup as s
 
@@ -70,3 +72,17 @@ def test_suffixes_against_sorting():
 
 def test_empty(no_docs):
     assert s.remove_repeats(no_docs).count() == 0
+
+
+def test_a_task_holds_parts_of_a_batch():
+    rng = np.random.default_rng(3)
+    texts = [bytes(x).decode() for x in rng.integers(97, 123, (3000, 1500)).astype(np.uint8)]
+    texts += [texts[0], texts[0] * 300]
+    batch = pa.RecordBatch.from_arrays([pa.array([str(i).encode() for i in range(len(texts))]), pa.array(texts)], names=["text", "body"])
+    tracemalloc.start()
+    runs = [len(out) for out in s._find_runs(iter([batch]), 300)]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(runs) > 3 and sum(runs) > 10 * len(texts)
+    # For 4.9 MB of text, most of it the batch and its copy as bytes.
+    assert peak < 80e6

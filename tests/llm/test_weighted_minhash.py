@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -143,3 +144,13 @@ def test_pairs_verified_do_not_grow_with_the_square_of_a_family(spark, monkeypat
     assert 1 < len({r.class_id for r in out if r.doc_id < 1000}) < 120
     # 6,557 pairs of the third step on before groups had a middle.
     assert sum(counts[2:]) <= len(rows) * m.BANDS and sum(counts[3:]) <= 2 * len(rows)
+
+
+def test_random_numbers_are_drawn_in_parts():
+    m._tables.cache_clear()
+    tracemalloc.start()
+    tables = m._tables(7.5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    m._tables.cache_clear()
+    assert peak < 1.4 * sum(t.nbytes for t in tables)

@@ -15,23 +15,23 @@ def connected(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     ``labels`` are components already known, which the edges may join. Every round
     takes the smallest label among the neighbours and then the label of that label, so
     the number of rounds is about the logarithm of the longest chain; each round is
-    written out, and no node or edge passes through the driver.
+    written out once, and no node or edge passes through the driver. Labels are final
+    when both ends of every edge have the same: stars need one round.
     """
-    both = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).where("a != b")
+    there = edges.select("a", "b").where("a != b")
     if labels is not None:
-        tie = labels.where("node != label")
-        both = both.union(tie.select("node", "label")).union(tie.select("label", "node"))
-    both = materialized(both.distinct())
-    now = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near"))
-    now = materialized(now.select("node", F.least("node", "near").alias("label")))
+        there = there.union(labels.where("node != label").select(F.col("node").alias("a"), F.col("label").alias("b")))
+    both = there.union(there.select("b", "a"))
+    near = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("near"))
+    # The first labels are not stored by themselves, only what a round makes of them.
+    now = near.select("node", F.least("node", "near").alias("label"))
     while True:
         heard = both.join(now.withColumnsRenamed({"node": "b", "label": "said"}), "b")
         best = heard.groupBy(F.col("a").alias("node")).agg(F.min("said").alias("said"))
         step = now.join(best, "node").select("node", F.least("label", "said").alias("label"))
-        step = materialized(step)
-        jump = step.select(F.col("node").alias("label"), F.col("label").alias("root"))
-        new = materialized(step.join(jump, "label").select("node", F.least("label", "root").alias("label")))
-        changed = new.join(now.withColumnRenamed("label", "was"), "node").where("label != was")
-        now = new
-        if changed.isEmpty():
+        jump = now.select(F.col("node").alias("label"), F.col("label").alias("root"))
+        now = materialized(step.join(jump, "label").select("node", F.least("label", "root").alias("label")))
+        ends = there.join(now.withColumnsRenamed({"node": "a", "label": "left"}), "a")
+        ends = ends.join(now.withColumnsRenamed({"node": "b", "label": "right"}), "b")
+        if ends.where("left != right").isEmpty():
             return now

@@ -348,7 +348,7 @@ def _nearest_middle(differences: DataFrame, labels: DataFrame) -> DataFrame:
     """``(a, b)``: in each group the member of least excess with all that reach the
     similarity without a difference in common. Two others that do so both reach it."""
     least = differences.groupBy("low").agg(F.min(F.struct("excess", "id")).alias("one"))
-    least = materialized(least.select("low", F.col("one.id").alias("a"), F.col("one.excess").alias("a_excess")))
+    least = least.select("low", F.col("one.id").alias("a"), F.col("one.excess").alias("a_excess"))
     pairs = joined(differences.select("low", "id", "excess", "total"), least, ["low"], "inner")
     pairs = pairs.where((F.col("id") != F.col("a")) & (F.col("excess") + F.col("a_excess") <= SLACK * F.col("total")))
     pairs = pairs.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
@@ -364,9 +364,9 @@ def _alike_differences(differences: DataFrame, labels: DataFrame, least: float)
     """
     rows = _classed(differences, "id", labels)
     by_class = materialized(rows.groupBy("low", "id_class").agg(F.min("excess").alias("e")))
-    one = materialized(by_class.groupBy("low").agg(F.min(F.struct("e", "id_class")).alias("one")).select("low", F.col("one.e").alias("e_one"), F.col("one.id_class").alias("c_one")))
+    one = by_class.groupBy("low").agg(F.min(F.struct("e", "id_class")).alias("one")).select("low", F.col("one.e").alias("e_one"), F.col("one.id_class").alias("c_one"))
     other = by_class.join(one, "low").where("id_class != c_one").groupBy("low").agg(F.min("e").alias("e_other"))
-    bounds = materialized(one.join(other, "low"))
+    bounds = one.join(other, "low")
     rows = joined(rows, bounds, ["low"], "inner")
     nearest = F.when(F.col("id_class") == F.col("c_one"), F.col("e_other")).otherwise(F.col("e_one"))
     spare = SLACK * F.col("total")
@@ -375,7 +375,7 @@ def _alike_differences(differences: DataFrame, labels: DataFrame, least: float)
     rows = rows.where("at.rest >= need").select("low", "id", "id_class", "total", "excess", F.col("at.elements").alias("element"), F.col("at.rest").alias("rest"))
     rows = materialized(rows)
     mixed = rows.groupBy("low", "element").agg(F.min("id_class").alias("x"), F.max("id_class").alias("y"))
-    rows = materialized(rows.join(mixed.where("x != y").select("low", "element"), ["low", "element"]))
+    rows = rows.join(mixed.where("x != y").select("low", "element"), ["low", "element"])
     names = ("id", "id_class", "total", "excess", "rest")
     left, right = (rows.withColumnsRenamed({x: x.replace("id", to) if x.startswith("id") else f"{to}_{x}" for x in names}) for to in "ab")
     near = F.least("a_total", "b_total") >= (least - SLACK) * F.greatest("a_total", "b_total")
@@ -384,13 +384,15 @@ def _alike_differences(differences: DataFrame, labels: DataFrame, least: float)
     return left.join(right, ["low", "element"]).where(apart & near & shared).select("a", "b").distinct()
 
 
+def _of_ids(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The texts of the ids in the one column of a finished table."""
+    return joined(texts.select("id", "text"), ids.toDF("id").distinct(), ["id"], "inner")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, weights, least: float) -> DataFrame:
-    """The pairs ``(a, b)`` whose texts reach the similarity, as a finished table."""
-    pairs = materialized(pairs)
-    ids = materialized(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
-    # The texts that any pair needs, one row for each id.
-    needed = joined(texts.select("id", "text"), ids, ["id"], "inner").groupBy("id").agg(F.min("text").alias("text"))
-    needed = materialized(needed)
+    """Of finished pairs ``(a, b)`` those whose texts, one row for each id, reach the
+    similarity, as a finished table."""
+    needed = _of_ids(texts, pairs.select("a").union(pairs.select("b")))
     both = pairs.join(needed.withColumnsRenamed({"id": "a", "text": "left"}), "a")
     both = both.join(needed.withColumnsRenamed({"id": "b", "text": "right"}), "b")
 
@@ -453,36 +455,36 @@ def near_duplicate_classes(
     held = materialized(spread.join(buckets, ["band", "h"]))
     # First the leader that most bands name, then all others still in another class.
     named = held.where("id != low").groupBy("id", "low").agg(F.count(F.lit(1)).alias("n"))
-    named = materialized(named)
-    first = named.groupBy("id").agg(F.max(F.struct("n", (-F.col("low")).alias("back"))).alias("best"))
-    pairs = first.select((-F.col("best.back")).alias("a"), F.col("id").alias("b"))
-    links = _verified(pairs, rows, weights, least)
+    order = Window.partitionBy("id").orderBy(F.desc("n"), "low")
+    named = materialized(named.select("id", "low", (F.row_number().over(order) == 1).alias("best")))
+    # The texts that any pair may need, one row for each id.
+    texts = _of_ids(rows, named.select("id").union(named.select("low")))
+    texts = materialized(texts.groupBy("id").agg(F.min("text").alias("text")))
+    led = lambda which: named.where(which).select(F.col("low").alias("a"), F.col("id").alias("b"))
+    tried = led("best")
+    links = _verified(tried, texts, weights, least)
     labels = connected(links)
-    tried = pairs.select("a", "b")
-    rest = named.select(F.col("low").alias("a"), F.col("id").alias("b")).join(tried, ["a", "b"], "left_anti")
     last = held.where("id != high").select(F.least("id", "high").alias("a"), F.greatest("id", "high").alias("b"))
     differences = None
     for step in range(4):
         if step < 2:
-            more = _across((rest, last.distinct())[step], labels)
+            more = _across((led("not best"), last.distinct())[step], labels)
         elif step == 2:
             # Groups have a leader in common; whoever is in a bucket is in its leader's.
             mine = _classed(named.select("low", "id"), "id", labels)
             mixed = mine.groupBy("low").agg(F.min("id_class").alias("x"), F.max("id_class").alias("y"))
             mine = materialized(mine.join(mixed.where("x != y").select("low"), "low").select("low", "id"))
-            ids = materialized(mine.select("id").distinct())
-            texts = joined(rows.select("id", "text"), ids, ["id"], "inner")
-            texts = materialized(texts.groupBy("id").agg(F.min("text").alias("text")))
-            differences = _differences(mine, texts, weights, least)
-            more = _nearest_middle(differences, labels).join(done, ["a", "b"], "left_anti")
+            differences = _differences(mine, _of_ids(texts, mine.select("id")), weights, least)
+            more = _nearest_middle(differences, labels).join(tried, ["a", "b"], "left_anti")
         else:
-            more = _alike_differences(differences, labels, least).join(done, ["a", "b"], "left_anti")
+            more = _alike_differences(differences, labels, least).join(tried, ["a", "b"], "left_anti")
         more = materialized(more)
-        done = materialized(tried.union(more).distinct())
-        tried = done
+        tried = tried.union(more)
         if more.isEmpty():
             continue
-        found = _verified(more, rows, weights, least)
+        found = _verified(more, texts, weights, least)
+        if found.isEmpty():
+            continue
         links = links.union(found)
         labels = connected(found, labels)
     ends = links.select(F.col("a").alias("id")).union(links.select("b"))

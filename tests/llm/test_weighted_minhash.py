@@ -3,6 +3,7 @@ import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+from smudgelex.llm import components
 from smudgelex.llm import weighted_minhash as m
 
 from tests.llm.conftest import sentence
@@ -154,3 +155,42 @@ def test_random_numbers_are_drawn_in_parts():
     tracemalloc.stop()
     m._tables.cache_clear()
     assert peak < 1.4 * sum(t.nbytes for t in tables)
+
+
+def _counting(monkeypatch, *modules):
+    stored, store = [], m.materialized
+
+    def counting(df):
+        stored.append(df)
+        return store(df)
+
+    for module in modules:
+        monkeypatch.setattr(module, "materialized", counting)
+    return stored
+
+
+def test_components_store_one_table_a_round(spark, monkeypatch):
+    stored = _counting(monkeypatch, components)
+    star = spark.createDataFrame([(0, i) for i in range(1, 20)] + [(30, 31), (31, 32)], "a bigint, b bigint")
+    labels = components.connected(star)
+    assert {(r.node, r.label) for r in labels.collect()} == {(i, 0) for i in range(20)} | {(i, 30) for i in (30, 31, 32)}
+    # 6 tables before.
+    assert len(stored) == 1
+    more = spark.createDataFrame([(19, 32), (40, 41), (7, 7)], "a bigint, b bigint")
+    want = {(i, 0) for i in (*range(20), 30, 31, 32)} | {(40, 40), (41, 40)}
+    assert {(r.node, r.label) for r in components.connected(more, labels).collect()} == want
+    chain = [(i, i + 1) for i in range(0, 37)]
+    random.Random(4).shuffle(chain)
+    far = components.connected(spark.createDataFrame(chain, "a bigint, b bigint"))
+    assert {(r.node, r.label) for r in far.collect()} == {(i, 0) for i in range(38)}
+
+
+def test_pairs_are_verified_with_one_table_stored(spark, monkeypatch):
+    stored = _counting(monkeypatch, m)
+    none = np.zeros(0, np.uint64)
+    weights = spark.sparkContext.broadcast(m.Weights(none, none.astype(np.int64), np.uint64(0), 3))
+    pairs = spark.createDataFrame([(1, 2), (1, 3)], "a bigint, b bigint")
+    texts = spark.createDataFrame([(1, "a b c d e f"), (2, "A b c d e f"), (3, "other words")], "id bigint, text string")
+    assert {(r.a, r.b) for r in m._verified(pairs, texts, weights, 0.8).collect()} == {(1, 2)}
+    # 4 tables before.
+    assert len(stored) == 1
